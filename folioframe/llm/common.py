@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import sys
 import tempfile
+import types
 import uuid
 
 import pyarrow as pa
@@ -72,6 +74,14 @@ def per_text(docs: DataFrame, score, schema: str) -> DataFrame:
     return id_text(docs).mapInArrow(run, ddl)
 
 
+def worker_cache(key, build):
+    """A value that a Python worker builds once and keeps over its tasks (functions come by value, so their globals don't stay)."""
+    kept = sys.modules.setdefault("_folioframe_kept", types.ModuleType("_folioframe_kept")).__dict__
+    if key not in kept:
+        kept[key] = build()
+    return kept[key]
+
+
 _TYPES = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32())}
 
 
