@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from folioframe.llm import simhash
+from folioframe.llm import flac, pieces, simhash
 
 
 def queries():
     return {
         "op3_simhash": simhash.query,
+        "op6_pieces": pieces.query,
+        "op7_flac": flac.query,
     }
 
 
