@@ -335,7 +335,7 @@ def _decode_frames(buf: np.ndarray, begin: np.ndarray, size: np.ndarray, n: np.n
     coef, shift = np.zeros((deep, count), np.int32), np.zeros(count, np.int32)  # row d: of the sample d + 1 back, reversed below
     for o in range(1, 5):
         has = np.flatnonzero(fixed & (p == o))
-        for j, c in enumerate(FIXED[o]):
+        for j, c in enumerate(FIXED[o] if len(has) else ()):
             coef[j, has] = c
     for i in np.unique(p[lpc]).tolist():
         has = np.flatnonzero(lpc & (p == i))
