@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folioframe.llm import flac, pieces, simhash
+from folioframe.llm import flac, pieces, quality, simhash
 
 
 def queries():
@@ -10,6 +10,7 @@ def queries():
         "op3_simhash": simhash.query,
         "op6_pieces": pieces.query,
         "op7_flac": flac.query,
+        "op10_quality": quality.query,
     }
 
 
