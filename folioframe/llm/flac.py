@@ -23,7 +23,7 @@ from folioframe.llm.common import per_text, table
 
 BLOCK, PAD, RATE, ORDER, PRECISION = 1152, 192, 8000, 4, 10
 #: Payload bytes that are worked on at a time.
-GROUP = 4 << 20
+GROUP = 2 << 20
 
 
 def _crc_tables():
