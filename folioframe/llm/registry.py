@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folioframe.llm import flac, pieces, quality, simhash, toxicity
+from folioframe.llm import flac, pieces, pii, quality, simhash, toxicity
 
 
 def queries():
@@ -10,6 +10,7 @@ def queries():
         "op3_simhash": simhash.query,
         "op6_pieces": pieces.query,
         "op7_flac": flac.query,
+        "op8_pii": pii.query,
         "op9_toxicity": toxicity.query,
         "op10_quality": quality.query,
     }
