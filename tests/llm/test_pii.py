@@ -68,7 +68,7 @@ def test_held_out_accuracy(field):
 
 
 def test_query_rows(spark):
-    texts = ["ask Dr. Wanda Voss at a.b@c.de now\n+1 (017) 555-7713 10.0.0.1", "token = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\" thhan", "", None, "word " * 50000, "And. Is that. Of er."]
+    texts = ["ask Dr. Wanda Voss at a.b@c.de now\n+1 (017) 555-7713, 10.0.0.1", "token = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\" thhan", "", None, "word " * 50000, "And. Is that. Of er."]
     rows = list(enumerate(texts)) + [(0, texts[0]), (None, "x@y.z")]
     got = P.find(spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id long, text string, spans int")).collect()
     assert len(got) == len(rows)
