@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from folioframe.llm import flac, pieces, pii, quality, simhash, toxicity
+from folioframe.llm import flac, pieces, pii, quality, simhash, toxicity, warc
 
 
 def queries():
     return {
         "op3_simhash": simhash.query,
+        "op5_warc": warc.query,
         "op6_pieces": pieces.query,
         "op7_flac": flac.query,
         "op8_pii": pii.query,
