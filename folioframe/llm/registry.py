@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from folioframe.llm import flac, pieces, pii, quality, simhash, toxicity, warc
+from folioframe.llm import flac, mixing, pieces, pii, quality, simhash, toxicity, warc
 
 
 def queries():
     return {
+        "op2_mixing": mixing.query,
         "op3_simhash": simhash.query,
         "op5_warc": warc.query,
         "op6_pieces": pieces.query,
@@ -18,4 +19,4 @@ def queries():
 
 
 def oracle_sql():
-    return {}
+    return {"op2_mixing": mixing.SQL}
