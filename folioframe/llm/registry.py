@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from folioframe.llm import flac, mixing, pieces, pii, quality, simhash, toxicity, warc
+from folioframe.llm import flac, linedup, mixing, pieces, pii, quality, simhash, toxicity, warc
 
 
 def queries():
     return {
         "op2_mixing": mixing.query,
         "op3_simhash": simhash.query,
+        "op4_linedup": linedup.query,
         "op5_warc": warc.query,
         "op6_pieces": pieces.query,
         "op7_flac": flac.query,
