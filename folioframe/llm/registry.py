@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from folioframe.llm import flac, linedup, mixing, pieces, pii, quality, simhash, toxicity, warc
+from folioframe.llm import flac, linedup, mixing, pieces, pii, quality, simhash, substrings, toxicity, warc
 
 
 def queries():
     return {
+        "op1_substrings": substrings.query,
         "op2_mixing": mixing.query,
         "op3_simhash": simhash.query,
         "op4_linedup": linedup.query,
