@@ -1,9 +1,24 @@
-"""Registered queries of the engine's own operators, with their SQL twins."""
+"""All registered queries of the engine's own operators, with their SQL twins."""
+
+from __future__ import annotations
+
+import importlib
+
+from folioframe.plans import base
+
+MODULES = ("strings",)
+
+
+def _load():
+    for m in MODULES:
+        importlib.import_module(f"folioframe.plans.{m}")
 
 
 def queries():
-    return {}
+    _load()
+    return dict(base.QUERIES)
 
 
 def oracle_sql():
-    return {}
+    _load()
+    return dict(base.SQL)
