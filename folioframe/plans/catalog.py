@@ -6,7 +6,7 @@ import importlib
 
 from folioframe.plans import base
 
-MODULES = ("strings",)
+MODULES = ("strings", "scalars")
 
 
 def _load():
