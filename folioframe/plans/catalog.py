@@ -6,7 +6,7 @@ import importlib
 
 from folioframe.plans import base
 
-MODULES = ("strings", "scalars")
+MODULES = ("strings", "scalars", "duplicates")
 
 
 def _load():
