@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from folioframe.llm.common import per_text, table, worker_cache
 
 #: Entries of the table of short units, their longest length, and entries of the pair table.
-UNITS, UNIT_CHARS, PAIRS = 400_000, 40, 1_000_000
+UNITS, UNIT_CHARS, PAIRS = 200_000, 40, 300_000
 SPACE = "▁"
 
 
