@@ -6,7 +6,7 @@ import importlib
 
 from folioframe.plans import base
 
-MODULES = ("strings", "scalars", "duplicates", "stages")
+MODULES = ("strings", "scalars", "duplicates", "stages", "sequence")
 
 
 def _load():
