@@ -6,7 +6,7 @@ import importlib
 
 from folioframe.plans import base
 
-MODULES = ("strings", "scalars", "duplicates", "stages", "sequence", "compare")
+MODULES = ("strings", "scalars", "duplicates", "stages", "sequence", "compare", "listing")
 
 
 def _load():
