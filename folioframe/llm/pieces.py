@@ -16,15 +16,15 @@ from __future__ import annotations
 
 import hashlib
 import re
-from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession
 
 from folioframe.llm.common import per_text, table, worker_cache
 
-#: Entries of the table of short units, their longest length, and entries of the pair table.
-UNITS, UNIT_CHARS, PAIRS = 200_000, 40, 300_000
+#: Entries of each of the two tables of short units, their longest length, and entries of the pair table.
+UNITS, UNIT_CHARS, PAIRS = 150_000, 40, 400_000
 SPACE = "▁"
+_NEVER = float("inf")
 
 
 def model_path() -> str:
@@ -62,12 +62,14 @@ class PieceCodec:
         self.cut = re.compile(r"\n| *[^ \n]+| +" if self.cut_lines else r" *[^ ]+| +")
         self.chars = chars
         self.matches = ahocorasick.Automaton()
+        self.fits: dict[int, bool] = {}
+        self.made: dict[int, list] = {}
         for p, (_, i) in self.rank.items():
-            self.matches.add_word(p, (i, len(p)))
+            if self.alone(i):
+                self.matches.add_word(p, (i, len(p)))
         self.matches.make_automaton()
-        self.fits: dict[int, bool] = {}
-        self.whole: dict[int, bool] = {}
         self.units: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
         self.text_of = [p.replace(SPACE, " ").encode() for p in self.pieces]
         for b, i in self.byte_ids.items():
             self.text_of[i] = bytes([b])
@@ -77,48 +79,76 @@ class PieceCodec:
         self.byte_of = {i: b for b, i in self.byte_ids.items()}
         self.digits = [str(i) for i in range(len(self.pieces))]
 
-    def merged(self, s: str) -> list[str]:
-        """Plain merging of a short string: best score first, leftmost of equals."""
-        parts = list(s)
-        while True:
-            best = None
-            for i in range(len(parts) - 1):
-                r = self.rank.get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r[0] < best[0]):
-                    best = (r[0], i)
-            if best is None:
-                return parts
-            i = best[1]
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    def steps(self, t: int) -> list[tuple[float, str, str]]:
+        """The merges that make a piece out of its characters, in order: rank, and the string's first and last part after it."""
+        got = self.made.get(t)
+        if got is None:
+            got, parts = [], list(self.pieces[t])
+            while True:
+                best = None
+                for i in range(len(parts) - 1):
+                    r = self.rank.get(parts[i] + parts[i + 1])
+                    if r is not None and (best is None or r[0] < best[0]):
+                        best = (r[0], i)
+                if best is None:
+                    break
+                i = best[1]
+                parts[i : i + 2] = [parts[i] + parts[i + 1]]
+                got.append((best[0], parts[0], parts[-1]))
+            self.made[t] = got
+        return got
 
     def beside(self, a: int, b: int) -> bool:
+        """Whether merging both pieces' characters gives just the two. Each side's merges keep their order, so both are run against each
+        other by rank; it fails as soon as the parts at the seam would merge first (on the left of equals)."""
         key = a << 20 | b
         got = self.fits.get(key)
         if got is None:
-            x, y = self.pieces[a], self.pieces[b]
-            got = self.merged(x + y) == [x, y]
+            x, y, rank = self.steps(a), self.steps(b), self.rank
+            u, v = self.pieces[a][-1], self.pieces[b][0]
+            i = j = 0
+            n, m = len(x), len(y)
+            while True:
+                seam = rank.get(u + v)
+                left = x[i][0] if i < n else _NEVER
+                right = y[j][0] if j < m else _NEVER
+                if seam is not None and seam[0] < left and seam[0] <= right:
+                    got = False
+                    break
+                if i == n and j == m:
+                    got = True
+                    break
+                if left <= right:
+                    u = x[i][2]
+                    i += 1
+                else:
+                    v = y[j][1]
+                    j += 1
             if len(self.fits) >= PAIRS:
                 self.fits.clear()
             self.fits[key] = got
         return got
 
     def alone(self, t: int) -> bool:
-        got = self.whole.get(t)
-        if got is None:
-            got = self.whole[t] = self.merged(self.pieces[t]) == [self.pieces[t]]
-        return got
+        """Whether merging a piece's characters gives the piece; others never stand in an encoding and are no matches."""
+        steps = self.steps(t)
+        return len(self.pieces[t]) == 1 or bool(steps) and steps[-1][1] == self.pieces[t]
 
     def _known(self, s: str) -> list[int]:
         """Ids of a string of known characters."""
-        last = [0] * (len(s) + 1)
-        size = [0] * (len(s) + 1)
+        last, size, fits = [0] * (len(s) + 1), [0] * (len(s) + 1), self.fits
         for end, (t, n) in self.matches.iter(s):
             e = end + 1
             if size[e]:
                 continue
             at = e - n
-            if self.alone(t) and (not at or self.beside(last[at], t)):
-                last[e], size[e] = t, n
+            if at:
+                fit = fits.get(last[at] << 20 | t)
+                if fit is None:
+                    fit = self.beside(last[at], t)
+                if not fit:
+                    continue
+            last[e], size[e] = t, n
         out, e = [], len(s)
         while e:
             out.append(last[e])
@@ -126,28 +156,40 @@ class PieceCodec:
         return out[::-1]
 
     def _unit(self, unit: str) -> tuple[int, ...]:
+        """A unit that the young table lacks: out of the old one, or encoded. A full young table becomes the old one, so what is
+        frequent stays while what came once goes."""
+        if len(self.units) >= UNITS:
+            self.old, self.units = self.units, {}
+        kept = self.old.get(unit)
+        if kept is not None:
+            self.units[unit] = kept
+            return kept
         s = unit.replace(" ", SPACE)
-        out: list[int] = []
-        run = 0
-        for i, c in enumerate(s):
-            if c not in self.chars:
-                if i > run:
-                    out += self._known(s[run:i])
-                out += [self.byte_ids.get(b, self.unknown) for b in c.encode("utf-8", "replace")]
-                run = i + 1
-        if run < len(s):
-            out += self._known(s[run:])
+        if self.chars.issuperset(s):
+            out = self._known(s)
+        else:
+            out, run = [], 0
+            for i, c in enumerate(s):
+                if c not in self.chars:
+                    if i > run:
+                        out += self._known(s[run:i])
+                    out += [self.byte_ids.get(b, self.unknown) for b in c.encode("utf-8", "replace")]
+                    run = i + 1
+            if run < len(s):
+                out += self._known(s[run:])
+        out = tuple(out)
         if len(unit) <= UNIT_CHARS:
-            if len(self.units) >= UNITS:
-                self.units.clear()
-            self.units[unit] = tuple(out)
-        return tuple(out)
+            self.units[unit] = out
+        return out
 
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
-        get, unit = self.units.get, self._unit
-        return list(chain.from_iterable([get(u) or unit(u) for u in self.cut.findall(" " + text.replace(SPACE, " "))]))
+        units, unit = self.units, self._unit
+        out = []
+        for u in self.cut.findall(" " + text.replace(SPACE, " ")):
+            out += units.get(u) or unit(u)
+        return out
 
     def decode(self, ids) -> str:
         """Bytes that are no UTF-8 become one U+FFFD each; the leading space that encoding adds goes."""

@@ -42,3 +42,21 @@ def test_query_rows(spark, lib):
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert (r.doc_id, ids, r.decoded_sha256) in [(d, lib.encode(t or ""), hashlib.sha256(lib.decode(lib.encode(t or "")).encode()).hexdigest()) for d, t in rows]
     assert pieces.encode_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_seam_test_is_plain_merging():
+    c = pieces.PieceCodec(pieces.load_model(pieces.model_path()))
+    rng = random.Random(9)
+
+    def merged(s):
+        parts = list(s)
+        while True:
+            best = min(((c.rank[parts[i] + parts[i + 1]][0], i) for i in range(len(parts) - 1) if parts[i] + parts[i + 1] in c.rank), default=None)
+            if best is None:
+                return parts
+            parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
+
+    for _ in range(4000):
+        a, b = rng.randrange(259, 9000), rng.randrange(259, 9000)
+        if c.alone(a) and c.alone(b):
+            assert c.beside(a, b) == (merged(c.pieces[a] + c.pieces[b]) == [c.pieces[a], c.pieces[b]])
