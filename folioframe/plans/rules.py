@@ -162,9 +162,9 @@ def mem_key_sentences(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.size(s).cast("long").alias("sentences"))
 
 
-@query("mem_confidence", f"{_PR} SELECT chart, round(avg(CASE WHEN kind = 'main' THEN confidence ELSE 0.85 END), 4) AS confidence FROM pages_o GROUP BY chart")
+@query("mem_confidence", f"{_PR} SELECT chart, round(round(avg(CASE WHEN kind = 'main' THEN confidence ELSE 0.85 END), 8), 4) AS confidence FROM pages_o GROUP BY chart")
 def mem_confidence(spark, sf):
-    return order_pages(spark, sf).groupBy("chart").agg(F.round(F.avg(F.when(F.col("kind") == "main", F.col("confidence")).otherwise(0.85)), 4).alias("confidence"))
+    return order_pages(spark, sf).groupBy("chart").agg(F.round(F.round(F.avg(F.when(F.col("kind") == "main", F.col("confidence")).otherwise(0.85)), 8), 4).alias("confidence"))
 
 
 _VOTE = f"{_PR}, s AS (SELECT chart, kind, sum(confidence * CASE WHEN page_no = 1 THEN 2 ELSE 1 END) AS w, max((page_no = 1)::INT) AS o, min(CASE kind WHEN 'main' THEN 1 WHEN 'junk' THEN 2 ELSE 3 END) AS p FROM pages_o GROUP BY chart, kind) SELECT chart, arg_max(kind, ((kind <> 'blank')::INT, round(w, 6), o, -p)) AS kind FROM s GROUP BY chart"
