@@ -214,3 +214,147 @@ def stream_intake(spark, sf):
     o.repartition(2).write.parquet(f"{at}/in")
     I.intake(spark, f"{at}/in", o.schema, f"{at}/table", f"{at}/checkpoint", ["o_orderkey"], "o_orderdate")
     return spark.read.parquet(f"{at}/table/v=0").select("o_orderkey", "o_orderstatus")
+
+
+def _files(spark, sf):
+    """A listing of page files: parts as pages of a chart a brand."""
+    p = table(spark, sf, "part")
+    ext = F.when(F.col("p_partkey") % 9 == 0, ".txt").otherwise(".jpg")
+    path = F.concat(F.lit("store/in/"), F.col("p_brand"), F.lit("/p"), F.col("p_partkey").cast("string"), ext)
+    return p.select(path.alias("path"), F.col("p_brand").alias("chart"), F.col("p_partkey").alias("length")).where(F.lower("path").rlike(r"\.(jpg|jpeg|png|tif|tiff)$"))
+
+
+@query("scan_blob_images", "SELECT 'store/in/' || p_brand || '/p' || p_partkey || '.jpg' AS path, p_brand AS chart FROM part WHERE p_partkey % 9 <> 0")
+def scan_blob_images(spark, sf):
+    return _files(spark, sf).select("path", "chart")
+
+
+@query("scan_blob_chart_prefixes", "SELECT DISTINCT p_brand AS chart FROM part WHERE p_partkey % 9 <> 0")
+def scan_blob_chart_prefixes(spark, sf):
+    return _files(spark, sf).select(F.element_at(F.split("path", "/"), -2).alias("chart")).distinct()
+
+
+@query("scan_local_chart_folders", "SELECT p_brand AS chart, count(*) AS pages FROM part WHERE p_partkey % 9 <> 0 GROUP BY 1")
+def scan_local_chart_folders(spark, sf):
+    return files.charts(_files(spark, sf))
+
+
+@query("scan_metadata_csvs", "SELECT c_custkey::VARCHAR AS id, 'Run' || (c_custkey % 2 + 1) AS run_id, 'Batch7' AS batch_id FROM customer WHERE c_nationkey = 3")
+def scan_metadata_csvs(spark, sf):
+    """Sheets of several runs, the run and batch out of their names, extra sheets left out."""
+    at = _scratch(spark)
+    c = table(spark, sf, "customer").where("c_nationkey = 3").select(F.col("c_custkey").alias("id"))
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for name, part in (("metadata_R1_B7.csv", c.where("id % 2 = 0")), ("metadata_R2_B7.csv", c.where("id % 2 = 1")), ("metadata_extra_R9_B9.csv", c)):
+        part.coalesce(1).write.option("header", "true").csv(f"{at}/tmp/{name}")
+        root = fs.Path(f"{at}/tmp/{name}")
+        store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        one = [f.getPath() for f in store.listStatus(root) if f.getPath().getName().startswith("part-")][0]
+        store.mkdirs(fs.Path(f"{at}/csv"))
+        store.rename(one, fs.Path(f"{at}/csv/{name}"))
+    return files.metadata(spark, f"{at}/csv").select("id", "run_id", "batch_id")
+
+
+@query("sink_export_csv_stream", "SELECT 0::BIGINT AS n, 'n_nationkey,n_name' AS line UNION ALL SELECT n_nationkey + 1, n_nationkey || ',' || n_name FROM nation")
+def sink_export_csv_stream(spark, sf):
+    n = table(spark, sf, "nation").select("n_nationkey", "n_name").orderBy("n_nationkey")
+    return spark.createDataFrame(list(enumerate(sinks.csv_lines(n))), "n long, line string")
+
+
+@query("sink_excel_report", "SELECT 'summary' AS sheet, count(*) AS rows FROM nation UNION ALL SELECT 'regions', count(*) FROM region")
+def sink_excel_report(spark, sf):
+    """What goes on each sheet of a report; sinks.workbook() writes it where an Excel writer is installed."""
+    n = table(spark, sf, "nation").agg(F.lit("summary").alias("sheet"), F.count("*").alias("rows"))
+    return n.union(table(spark, sf, "region").agg(F.lit("regions"), F.count("*")))
+
+
+@query("filter_only_through", "SELECT * FROM (VALUES (1, 'ocr'), (2, 'classify')) v(seq, stage)")
+def filter_only_through(spark, sf):
+    """The stage chain up to one stage, and of these only those named."""
+    from folioframe.plans.base import STAGES
+
+    through, only = "sequence", {"ocr", "classify", "final"}
+    chosen = [(i, s) for i, s in enumerate(STAGES) if i <= STAGES.index(through) and s in only]
+    return spark.createDataFrame(chosen, "seq int, stage string")
+
+
+@query("topk_mined_per_class", "WITH g AS (SELECT DISTINCT doc_id, lang, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}_]+')) AS phrase FROM documents), s AS (SELECT phrase, lang, count(*) AS k FROM g GROUP BY ALL), e AS (SELECT phrase, sum(k)::BIGINT AS n FROM s GROUP BY phrase HAVING sum(k) >= 20), j AS (SELECT s.lang, s.phrase, round(round(k / n::DOUBLE, 6) * ln(1 + k), 6) AS score FROM s JOIN e USING (phrase)), r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, phrase) AS place FROM j) SELECT lang, phrase, place FROM r WHERE place <= 3")
+def topk_mined_per_class(spark, sf):
+    from folioframe.functions import strings as S
+    from folioframe.operators import rules as R
+
+    d = table(spark, sf, "documents")
+    return R.keyword_mining(d, "lang", S.words(F.col("text")), 20, 3).select("lang", "phrase", "place")
+
+
+@query("pt_annotation_store", f"WITH {ORDER_PAGES}, l AS (SELECT chart, page_no, CASE WHEN part % 3 = 0 THEN 'undone' WHEN part % 3 = 1 THEN kind END AS label FROM pages_o) SELECT chart, page_no, nullif(label, 'undone') AS label, nullif(label, 'undone') IS NULL AS queued FROM l")
+def pt_annotation_store(spark, sf):
+    """The label store as an append log: the last entry of a page counts, an undo clears it, pages without a label are the work queue."""
+    from folioframe.operators.merge import last_wins
+
+    p = order_pages(spark, sf)
+    log = p.where("part % 3 <> 2").select("chart", "page_no", F.lit(1).alias("n"), F.col("kind").alias("label")).union(p.where("part % 3 = 0").select("chart", "page_no", F.lit(2), F.lit(None).cast("string")))
+    now = last_wins(log, [F.col("chart"), F.col("page_no")], [F.col("n")])
+    return p.select("chart", "page_no").join(now, ["chart", "page_no"], "left").select("chart", "page_no", "label", F.col("label").isNull().alias("queued"))
+
+
+@query("inc_progress", "WITH s AS (SELECT user_id AS chart, count(*) AS total, count(*) FILTER (WHERE value > 50) AS done FROM events GROUP BY 1) SELECT chart, done, total, done || '/' || total AS progress FROM s")
+def inc_progress(spark, sf):
+    g = table(spark, sf, "events").groupBy(F.col("user_id").alias("chart")).agg(F.count_if(F.col("value") > 50).alias("done"), F.count("*").alias("total"))
+    return g.withColumn("progress", F.concat(F.col("done").cast("string"), F.lit("/"), F.col("total").cast("string")))
+
+
+@query("inc_jobs_lease", "SELECT user_id AS worker, arg_max(event_id, (ts, event_id)) AS job, strftime(max(ts) + INTERVAL 10 MINUTE, '%Y-%m-%d %H:%M:%S') AS leased_until FROM events GROUP BY user_id")
+def inc_jobs_lease(spark, sf):
+    """A worker's newest job and until when it holds it."""
+    g = table(spark, sf, "events").groupBy(F.col("user_id").alias("worker")).agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("job"), F.max("ts").alias("t"))
+    return g.select("worker", "job", F.date_format(F.col("t") + F.expr("interval 10 minutes"), "yyyy-MM-dd HH:mm:ss").alias("leased_until"))
+
+
+@query("inc_report_cache", "SELECT 'built' AS state, count(*) AS rows FROM region UNION ALL SELECT 'kept', count(*) FROM region")
+def inc_report_cache(spark, sf):
+    """A report that is built once a version: the second request takes what is kept."""
+    cache, built = I.ReportCache(), []
+    r = table(spark, sf, "region")
+    version = r.agg(F.count("*").alias("n"), F.max("r_regionkey").alias("m"))
+
+    def build():
+        built.append(1)
+        return r.count()
+
+    rows = [("built", cache.get("x", version, build)), ("kept", cache.get("x", version, build))]
+    assert len(built) == 1
+    return spark.createDataFrame(rows, "state string, rows long")
+
+
+@query("inc_hot_reload_canon", "SELECT * FROM (VALUES ('first', 1), ('changed', 2), ('broken', 2)) v(step, value)")
+def inc_hot_reload_canon(spark, sf):
+    """A rule file that is read again when it changes; a broken version leaves the last good one. Rule files are the driver's."""
+    import os
+
+    with tempfile.TemporaryDirectory() as d:
+        path, out = os.path.join(d, "rules.json"), []
+        rules = I.RuleFile(path)
+        for i, (step, text) in enumerate((("first", '{"v": 1}'), ("changed", '{"v": 2}'), ("broken", "{"))):
+            with open(path, "w") as f:
+                f.write(text)
+            os.utime(path, ns=(i, i))
+            out.append((step, rules.get()["v"]))
+    return spark.createDataFrame(out, "step string, value int")
+
+
+@query("maint_capabilities")
+def maint_capabilities(spark, sf):
+    """Optional features and whether what they need is there."""
+    import importlib.util
+
+    need = {"workbook": "openpyxl", "xlsx rosters": "openpyxl", "onnx models": "onnxruntime", "fast automaton": "ahocorasick"}
+    return spark.createDataFrame([(k, m, importlib.util.find_spec(m) is not None) for k, m in need.items()], "feature string, module string, usable boolean")
+
+
+@query("maint_reset_rerun", f"WITH {ORDER_PAGES} SELECT chart, page_no, CASE WHEN chart % 4 = 0 THEN 'pending' ELSE kind END AS state FROM pages_o")
+def maint_reset_rerun(spark, sf):
+    """Charts that are wiped start again as pending; others stay."""
+    p = order_pages(spark, sf)
+    wiped = p.where("chart % 4 = 0").select("chart", "page_no", F.lit("pending").alias("state"))
+    return p.where("chart % 4 <> 0").select("chart", "page_no", F.col("kind").alias("state")).unionByName(wiped)

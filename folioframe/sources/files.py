@@ -61,13 +61,19 @@ def rename(df: DataFrame, synonyms: dict[str, tuple[str, ...]]) -> DataFrame:
     return df.select(*(F.coalesce(*cols).alias(n) for n, cols in found.items()))
 
 
-def sheet(spark: SparkSession, path: str, synonyms: dict[str, tuple[str, ...]], encodings: tuple[str, ...] = ("UTF-8", "windows-1252", "ISO-8859-1")) -> DataFrame:
-    """A CSV sheet with header synonyms; the first encoding that leaves no replacement marks is taken."""
-    for e in encodings:
-        df = spark.read.option("header", "true").option("encoding", e).option("multiLine", "true").csv(path)
-        if e == encodings[-1] or not df.where(F.contains(F.concat_ws(" ", *(F.col(f"`{c}`") for c in df.columns)), F.lit("�"))).limit(1).count():
-            return rename(df, synonyms)
-    raise ValueError("no encoding given")
+#: What cp1252 has where latin-1 has control characters.
+_C1 = "".join(chr(i) for i in range(0x80, 0xA0) if i not in (0x81, 0x8D, 0x8F, 0x90, 0x9D))
+
+
+def sheet(spark: SparkSession, path: str, synonyms: dict[str, tuple[str, ...]]) -> DataFrame:
+    """A CSV sheet with header synonyms: UTF-8, or, where that leaves replacement marks, cp1252 (read as latin-1, which Spark knows, and
+    put right)."""
+    read = lambda e: rename(spark.read.option("header", "true").option("encoding", e).option("multiLine", "true").csv(path), synonyms)
+    df = read("UTF-8")
+    if not df.where(F.contains(F.concat_ws(" ", *df.columns), F.lit("\ufffd"))).limit(1).count():
+        return df
+    cp = _C1.encode("latin-1").decode("cp1252")
+    return read("ISO-8859-1").select(*(F.translate(c, _C1, cp).alias(c) for c in synonyms))
 
 
 def metadata(spark: SparkSession, folder: str) -> DataFrame:
