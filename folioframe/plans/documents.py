@@ -264,8 +264,10 @@ def seq_streams(spark, sf):
 
 def _follow(spark, sf):
     p = order_pages(spark, sf)
-    a, b = p.select("chart", F.col("page_no").alias("a"), F.col("part").alias("pa")), p.select("chart", F.col("page_no").alias("b"), F.col("part").alias("pb"))
-    j = a.join(b, "chart").where("a <> b and abs(a - b) <= 12")
+    place = F.floor(F.col("page_no") / 12)
+    a = p.select("chart", F.explode(F.array(place - 1, place, place + 1)).alias("stretch"), F.col("page_no").alias("a"), F.col("part").alias("pa"))
+    b = p.select("chart", place.alias("stretch"), F.col("page_no").alias("b"), F.col("part").alias("pb"))
+    j = a.join(b, ["chart", "stretch"]).where("a <> b and abs(a - b) <= 12")
     return j.select("chart", "a", "b", (F.pmod(F.col("pa") * 31 + F.col("pb"), F.lit(100)) / 100.0 - 0.5).alias("score"))
 
 

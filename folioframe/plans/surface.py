@@ -115,13 +115,13 @@ def scan_ocr_json(spark, sf):
     return table(spark, sf, "documents").select("doc_id", files.unwrap(raw).alias("text"))
 
 
-@query("scan_local_images", "SELECT n_nationkey AS id, row_number() OVER (ORDER BY n_nationkey) AS place FROM nation")
+@query("scan_local_images", "SELECT n_nationkey AS id, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS place FROM nation")
 def scan_local_images(spark, sf):
-    """Natural order of page names: page2 before page10."""
+    """Natural order of page names in a folder: page2 before page10."""
     from pyspark.sql import Window
 
     n = table(spark, sf, "nation").withColumn("path", F.concat(F.lit("a/page"), F.col("n_nationkey").cast("string"), F.lit(".jpg")))
-    return n.select(F.col("n_nationkey").alias("id"), F.row_number().over(Window.orderBy(*files.natural_key(F.col("path")))).cast("long").alias("place"))
+    return n.select(F.col("n_nationkey").alias("id"), F.row_number().over(Window.partitionBy("n_regionkey").orderBy(*files.natural_key(F.col("path")))).cast("long").alias("place"))
 
 
 @query("scan_ocr_reuse", "SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN 'workspace' WHEN c_custkey % 2 = 0 THEN 'output' ELSE 'db' END AS origin FROM customer")
