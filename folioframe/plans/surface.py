@@ -165,7 +165,7 @@ def sink_csv_per_chart(spark, sf):
     p = order_pages(spark, sf).where("chart % 50 = 1").select("chart", "page_no", "kind").repartition("chart")
     sinks.by_chart(p, at)
     sinks.by_chart(p.where("chart % 100 = 1"), at)
-    return spark.read.parquet(at).select("chart", "page_no", "kind")
+    return spark.read.parquet(at).select(F.col("chart").cast("long").alias("chart"), "page_no", "kind")
 
 
 query("sink_staging_json", f"WITH {ORDER_PAGES} SELECT chart, page_no, kind FROM pages_o WHERE chart % 50 = 1")(sink_csv_per_chart)
