@@ -60,13 +60,20 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def sliced(batches, rows: int = 1024):
+    """Arrow batches in slices, so that few texts at a time become Python strings."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def per_text(docs: DataFrame, score, schema: str) -> DataFrame:
     """Adds what score(list of texts) returns (a dict of equal-length lists) to each doc_id. schema: DDL of those columns."""
     ddl = f"doc_id long, {schema}"
     target = pa_schema(docs.sparkSession, ddl)
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             if b.num_rows:
                 got = score(b.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(got[f.name], f.type) for f in list(target)[1:])], schema=target)

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.llm.common import pa_schema, per_text, table
+from folioframe.llm.common import pa_schema, per_text, sliced, table
 
 BITS, FOLDS, TRAIN_ROWS, EPOCHS = 20, 5, 16_384, 3
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 12.0, 0.1
@@ -97,7 +97,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict:
     def places(batches):
         import pyarrow as pa
 
-        for b in batches:
+        for b in sliced(batches):
             at = [np.unique(hashed(t or "")) for t in b.column(1).to_pylist()]
             if at:
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, at)]), pa.int32()), pa.array(np.concatenate(at)))
@@ -135,7 +135,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches):
         one = scorer(model.value)
-        for b in batches:
+        for b in sliced(batches):
             yield b.filter(pa.array([one(t or "") < 0.5 for t in b.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
