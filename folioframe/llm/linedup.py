@@ -111,12 +111,16 @@ def sequences(docs: DataFrame) -> DataFrame:
 
 def pairs(seqs: DataFrame, rare: int = RARE) -> DataFrame:
     """(doc_id, th, p_id, p_th): each later document with an earlier one that shares a line with it."""
-    held = seqs.select("doc_id", "th", F.explode(F.array_distinct(F.filter(F.arrays_zip("hashes", "words"), lambda x: x["words"] > 0)["hashes"])).alias("line")).distinct()
-    shared = held.groupBy("line").agg(F.min(F.struct("doc_id", "th")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    # a document's lines are distinct here, so no group of holders is gathered anywhere
+    held = seqs.select("doc_id", "th", F.explode(F.array_distinct(F.filter(F.arrays_zip("hashes", "words"), lambda x: x["words"] > 0)["hashes"])).alias("line"))
+    counted = held.groupBy("line").agg(F.min(F.struct("doc_id", "th")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    shared = write_table(counted, "shared")  # so that both sides of the join are dealt for it alone, and a hot line can be split
     with_first = held.join(shared, "line")
     star = with_first.where("struct(doc_id, th) > first").select("doc_id", "th", F.col("first.doc_id").alias("p_id"), F.col("first.th").alias("p_th"))
-    before = F.lag(F.struct("doc_id", "th")).over(Window.partitionBy("line").orderBy("doc_id", "th"))
-    chain = with_first.where(F.col("n").between(3, rare)).select("doc_id", "th", before.alias("p")).where("p is not null").select("doc_id", "th", F.col("p.doc_id").alias("p_id"), F.col("p.th").alias("p_th"))
+    # the few holders of rare lines are dealt once more, under another key than the join's
+    few = with_first.where(F.col("n").between(3, rare)).select("doc_id", "th", F.bitwise_not("line").alias("key"))
+    before = F.lag(F.struct("doc_id", "th")).over(Window.partitionBy("key").orderBy("doc_id", "th"))
+    chain = few.select("doc_id", "th", before.alias("p")).where("p is not null").select("doc_id", "th", F.col("p.doc_id").alias("p_id"), F.col("p.th").alias("p_th"))
     return star.union(chain).distinct()
 
 
