@@ -22,7 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioframe.llm.common import id_text, table, worker_cache, write_table
@@ -139,14 +139,20 @@ def anchors(docs: DataFrame) -> DataFrame:
 
 
 def repeated_anchors(docs: DataFrame) -> DataFrame:
-    """Of anchors found twice or more, or again inside their context: (h, c, k1, k2, at, cm: times of the context, rep: the context's own row, nc: different contexts of the
-    anchor, key: the anchor's first text). One shuffle, by anchor; sums and windows stay in its partitions."""
-    dealt = anchors(docs).repartition("h").groupBy("h", "c", "k1", "pk").agg(F.sum("m").alias("m"))
-    by_h, by_c = Window.partitionBy("h"), Window.partitionBy("h", "c")
-    some = dealt.withColumns({"tot": F.sum("m").over(by_h), "key": F.min("k1").over(by_h)}).where((F.col("tot") > 1) | (F.col("c").bitwiseAND(F.lit(256)) > 0))
-    some = some.withColumns({"cm": F.sum("m").over(by_c), "rep": F.row_number().over(by_c.orderBy("k1", "pk")) == 1})
-    some = some.withColumn("nc", F.sum(F.col("rep").cast("long")).over(by_h))
-    return some.select("h", "c", "k1", F.shiftright("pk", 32).alias("k2"), F.col("pk").bitwiseAND(F.lit(0xFFFFFFFF)).alias("at"), "cm", "rep", "nc", "key")
+    """(h, c, k1, k2, at, m) of anchors found twice or more, or again inside their context. Counts come first, pre-aggregated, and leave few
+    anchors; the join that picks these can split an anchor that a third of all texts have, as nothing above it needs its rows together."""
+    again = F.max(F.col("c").bitwiseAND(F.lit(256)))
+    counted = anchors(docs).groupBy("h").agg(F.sum("m").alias("tot"), again.alias("again")).where("tot > 1 or again > 0").select("h")
+    some = write_table(counted, "repeated")  # so that both sides of the join are dealt for it alone
+    own = anchors(docs).join(some, "h").repartition("h", "c", "k1", "pk").groupBy("h", "c", "k1", "pk").agg(F.sum("m").alias("m"))
+    return own.select("h", "c", "k1", F.shiftright("pk", 32).alias("k2"), F.col("pk").bitwiseAND(F.lit(0xFFFFFFFF)).alias("at"), "m")
+
+
+def context_rows(found: DataFrame) -> DataFrame:
+    """(h, c, cm: times of the context, k1, k2, at: where it stands first, nc: different contexts of the anchor, key: the anchor's first text)."""
+    each = found.groupBy("h", "c").agg(F.sum("m").alias("cm"), F.min(F.struct("k1", "k2", "at")).alias("r"))
+    per_anchor = write_table(each.groupBy("h").agg(F.count("*").alias("nc"), F.min("r.k1").alias("key")), "per_anchor")
+    return each.join(per_anchor, "h").select("h", "c", "cm", "r.k1", "r.k2", "r.at", "nc", "key")
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
@@ -309,11 +315,11 @@ def hashed_windows(docs: DataFrame, reps: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(k1, k2, starts: array of (a, b)): windows a to b (exclusive) of the text repeat."""
     found = write_table(repeated_anchors(docs), "anchors")
-    reps = found.where("rep").select("h", "c", "k1", "k2", "at", "cm", "nc", "key")
-    sizes = reps.where(F.col("nc") <= HOT).groupBy("key").agg(F.count("*").alias("n"))
+    reps = write_table(context_rows(found), "contexts")
+    sizes = write_table(reps.where(F.col("nc") <= HOT).groupBy("key").agg(F.count("*").alias("n")), "sizes")
     normal = reps.where(F.col("nc") <= HOT).join(sizes, "key").withColumn("salt", F.pmod(F.col("h"), F.ceil(F.col("n") / SALT)))
     runs = sorted_shards(docs, normal)
-    if found.where(F.col("nc") > HOT).limit(1).count():
+    if reps.where(F.col("nc") > HOT).limit(1).count():
         runs = runs.union(hashed_windows(docs, reps.where(F.col("nc") > HOT).withColumn("salt", F.lit(0).cast("long"))))
     runs = write_table(runs, "runs")
     ends = F.transform(F.sequence(F.lit(0), F.size("runs") - 2, F.lit(2)), lambda i: F.struct((F.col("at") + F.element_at("runs", i + 1)).alias("a"), (F.col("at") + F.element_at("runs", i + 2)).alias("b")))
