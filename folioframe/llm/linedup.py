@@ -1,8 +1,8 @@
 """Line dedup by pairwise alignment.
 
-Documents that share lines are found through the hashes of their lines: of every line's holders, each is paired with
-the first (a star, so a line that many documents share gives one pair a holder), and where a line is rare, held by RARE
-documents at most, each holder is also paired with the one before it. A pair is aligned with patience diff, and
+Documents are paired through what is to be found: the hashes of runs of lines that just reach MIN_WORDS words. Of every run's
+holders, each is paired with the first (a star, so a run that many documents share gives one pair a holder), and where a run is
+rare, held by RARE documents at most, each holder is also paired with the one before it. A pair is aligned with patience diff, and
 aligned blocks of MIN_WORDS words or more leave the later document, the one of the higher doc_id. Alignments
 are made on the texts as they came, so a block's first holder always keeps it.
 
@@ -99,26 +99,37 @@ def repeated_lines(a_hash, a_words, b_hash, b_words, least: int = MIN_WORDS) ->
     return out
 
 
-def sequences(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, hashes, words) of each document that has an id."""
+def runs(hashes, words, least: int = MIN_WORDS) -> dict[tuple[int, int], int]:
+    """Keys of the shortest runs of least words or more, from each line with words onwards and from each back: {(first, end): key},
+    places counted among the lines with words. Every line of a block of least words or more lies in such a run of that block."""
+    at = [i for i, n in enumerate(words) if n]
+    ends = np.cumsum([0, *(words[i] for i in at)])
+    onwards = zip(range(len(at)), np.searchsorted(ends, ends[:-1] + least).tolist())
+    back = zip((np.searchsorted(ends, ends[1:] - least, "right") - 1).tolist(), range(1, len(at) + 1))
+    raw = np.array([hashes[i] for i in at], np.int64).tobytes()
+    return {(i, k): xxhash.xxh64_intdigest(raw[8 * i : 8 * k]) - 2**63 for i, k in {*onwards, *back} if i >= 0 and k <= len(at)}
+
+
+def sequences(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, th, hashes, words, runs) of each document that has an id."""
 
     def score(texts):
         got = [line_hashes(t) for t in texts]
-        return {"th": np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), 42) for t in texts], np.uint64).view(np.int64), "hashes": [g[0] for g in got], "words": [g[1] for g in got]}
+        return {"th": np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), 42) for t in texts], np.uint64).view(np.int64), "hashes": [g[0] for g in got], "words": [g[1] for g in got], "runs": [list(set(runs(*g, least).values())) for g in got]}
 
-    return per_text(docs.where("doc_id is not null"), score, "th long, hashes array<long>, words array<int>")
+    return per_text(docs.where("doc_id is not null"), score, "th long, hashes array<long>, words array<int>, runs array<long>")
 
 
 def pairs(seqs: DataFrame, rare: int = RARE) -> DataFrame:
-    """(doc_id, th, p_id, p_th): each later document with an earlier one that shares a line with it."""
-    # a document's lines are distinct here, so no group of holders is gathered anywhere
-    held = seqs.select("doc_id", "th", F.explode(F.array_distinct(F.filter(F.arrays_zip("hashes", "words"), lambda x: x["words"] > 0)["hashes"])).alias("line"))
-    counted = held.groupBy("line").agg(F.min(F.struct("doc_id", "th")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    shared = write_table(counted, "shared")  # so that both sides of the join are dealt for it alone, and a hot line can be split
-    with_first = held.join(shared, "line")
+    """(doc_id, th, p_id, p_th): each later document with an earlier one that shares a run of lines with it."""
+    # a document's runs are distinct here, so no group of holders is gathered anywhere
+    held = seqs.select("doc_id", "th", F.explode("runs").alias("run"))
+    counted = held.groupBy("run").agg(F.min(F.struct("doc_id", "th")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    shared = write_table(counted, "shared")  # so that both sides of the join are dealt for it alone, and a hot run can be split
+    with_first = held.join(shared, "run")
     star = with_first.where("struct(doc_id, th) > first").select("doc_id", "th", F.col("first.doc_id").alias("p_id"), F.col("first.th").alias("p_th"))
-    # the few holders of rare lines are dealt once more, under another key than the join's
-    few = with_first.where(F.col("n").between(3, rare)).select("doc_id", "th", F.bitwise_not("line").alias("key"))
+    # the few holders of rare runs are dealt once more, under another key than the join's
+    few = with_first.where(F.col("n").between(3, rare)).select("doc_id", "th", F.bitwise_not("run").alias("key"))
     before = F.lag(F.struct("doc_id", "th")).over(Window.partitionBy("key").orderBy("doc_id", "th"))
     chain = few.select("doc_id", "th", before.alias("p")).where("p is not null").select("doc_id", "th", F.col("p.doc_id").alias("p_id"), F.col("p.th").alias("p_th"))
     return star.union(chain).distinct()
@@ -142,7 +153,7 @@ def removals(seqs: DataFrame, least: int = MIN_WORDS, rare: int = RARE) -> DataF
 
 def without_repeats(docs: DataFrame, least: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
     """(_row: the columns of docs, text: what stays, _lines, _gone: numbers of lines)."""
-    seqs = write_table(sequences(docs).dropDuplicates(["doc_id", "th"]), "lines")
+    seqs = write_table(sequences(docs, least).dropDuplicates(["doc_id", "th"]), "lines")
     gone = removals(seqs, least, rare).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("gone").alias("_gone"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64(text).alias("_th"))

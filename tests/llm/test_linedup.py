@@ -84,3 +84,28 @@ def test_dedup_matches_brute(spark):
 
 def test_order_of_text_hash(spark):
     assert spark.range(1).selectExpr("xxhash64('añ b')").first()[0] == L_th("añ b")
+
+
+def test_block_whose_lines_were_all_seen_elsewhere(spark):
+    """Each line was first in another document, and many hold it; the block was first in document 50."""
+    line = lambda k, n=10: " ".join(f"{k}x{i}" for i in range(n))
+    l1, l2, l3 = line("p"), line("q"), line("r")
+    data = [(i, line(f"own{i}") + "\n" + (l1, l2, l3)[i % 3]) for i in range(48)]
+    data += [(50 + i, "\n".join([line(f"head{i}"), l1, l2, "", l3, line(f"tail{i}")])) for i in range(3)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got = {r[0]: r[1] for r in L.without_repeats(docs).select("_row.doc_id", "text").collect()}
+    left = {d: t if d < 51 else "\n".join([line(f"head{d - 50}"), "", line(f"tail{d - 50}")]) for d, t in data}
+    assert got == left
+
+
+def test_runs_cover_blocks():
+    rng = random.Random(5)
+    for _ in range(300):
+        words = [rng.choice([0, 1, 3, 9, 15, 25]) for _ in range(rng.randrange(12))]
+        own = [n for n in words if n]
+        found = L.runs(list(range(len(words))), words)
+        assert all(sum(own[i:k]) >= L.MIN_WORDS for i, k in found)
+        for i in range(len(own)):
+            for k in range(i + 1, len(own) + 1):
+                if sum(own[i:k]) >= L.MIN_WORDS:
+                    assert set(range(i, k)) == {x for a, b in found if i <= a and b <= k for x in range(a, b)}
