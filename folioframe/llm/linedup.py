@@ -1,10 +1,11 @@
 """Line dedup by pairwise alignment.
 
 Documents are paired through what is to be found: the hashes of runs of lines that just reach MIN_WORDS words. Of every run's
-holders, each is paired with the first (a star, so a run that many documents share gives one pair a holder), and where a run is
-rare, held by RARE documents at most, each holder is also paired with the one before it. A pair is aligned with patience diff, and
-aligned blocks of MIN_WORDS words or more leave the later document, the one of the higher doc_id. Alignments
-are made on the texts as they came, so a block's first holder always keeps it.
+holders, each is paired with the first (a star, so a run that many documents share gives one pair a holder). A pair is aligned with
+patience diff, and aligned blocks of MIN_WORDS words or more leave the later document, the one of the higher doc_id. So do further
+copies of a block in the later document, blocks that lie in another order there, and passages without a line that is unique on
+both sides: the pair's runs are compared as well, in linear time. Thus what leaves is each block that any earlier document
+has. Alignments are made on the texts as they came, so a block's first holder always keeps it.
 
 Lines are compared without blanks at their ends; lines without words are no part of an alignment and stay. Rows without a doc_id stay as they are.
 Rows of one doc_id count as one document where their texts agree, and stay alike; where they differ, the text's hash orders
@@ -18,12 +19,13 @@ from bisect import bisect_left
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioframe.llm.common import per_text, table, write_table
 
-MIN_WORDS, RARE = 20, 16
+MIN_WORDS = 20
+RARE = 16  # what callers may still pass as rare; runs need no further partners, so it changes nothing
 
 
 def line_hashes(text: str) -> tuple[list[int], list[int]]:
@@ -82,21 +84,27 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
 
 
 def repeated_lines(a_hash, a_words, b_hash, b_words, least: int = MIN_WORDS) -> list[int]:
-    """Lines of the later document b that lie in an aligned block of least words or more."""
+    """Lines of the later document b that lie in a block of least words or more that a has too: blocks that patience diff aligns, and
+    what it cannot see or set against a second time (passages without a line unique on both sides, further copies, moved blocks)."""
     ai = [i for i, n in enumerate(a_words) if n]
     bi = [j for j, n in enumerate(b_words) if n]
-    out: list[int] = []
+    out: set[int] = set()
     block: list[int] = []
     last = None
     for i, j in [*patience([a_hash[i] for i in ai], [b_hash[j] for j in bi]), (-9, -9)]:
         if last != (i - 1, j - 1):
             if sum(b_words[x] for x in block) >= least:
-                out += block
+                out.update(block)
             block = []
         if j >= 0:
             block.append(bi[j])
         last = (i, j)
-    return out
+    if len(out) < len(bi):
+        known = set(runs(a_hash, a_words, least).values())
+        for (j, k), key in runs(b_hash, b_words, least).items():
+            if key in known:
+                out.update(bi[j:k])
+    return sorted(out)
 
 
 def runs(hashes, words, least: int = MIN_WORDS) -> dict[tuple[int, int], int]:
@@ -120,25 +128,20 @@ def sequences(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     return per_text(docs.where("doc_id is not null"), score, "th long, hashes array<long>, words array<int>, runs array<long>")
 
 
-def pairs(seqs: DataFrame, rare: int = RARE) -> DataFrame:
+def pairs(seqs: DataFrame) -> DataFrame:
     """(doc_id, th, p_id, p_th): each later document with an earlier one that shares a run of lines with it."""
     # a document's runs are distinct here, so no group of holders is gathered anywhere
     held = seqs.select("doc_id", "th", F.explode("runs").alias("run"))
     counted = held.groupBy("run").agg(F.min(F.struct("doc_id", "th")).alias("first"), F.count("*").alias("n")).where("n > 1")
     shared = write_table(counted, "shared")  # so that both sides of the join are dealt for it alone, and a hot run can be split
-    with_first = held.join(shared, "run")
-    star = with_first.where("struct(doc_id, th) > first").select("doc_id", "th", F.col("first.doc_id").alias("p_id"), F.col("first.th").alias("p_th"))
-    # the few holders of rare runs are dealt once more, under another key than the join's
-    few = with_first.where(F.col("n").between(3, rare)).select("doc_id", "th", F.bitwise_not("run").alias("key"))
-    before = F.lag(F.struct("doc_id", "th")).over(Window.partitionBy("key").orderBy("doc_id", "th"))
-    chain = few.select("doc_id", "th", before.alias("p")).where("p is not null").select("doc_id", "th", F.col("p.doc_id").alias("p_id"), F.col("p.th").alias("p_th"))
-    return star.union(chain).distinct()
+    star = held.join(shared, "run").where("struct(doc_id, th) > first")
+    return star.select("doc_id", "th", F.col("first.doc_id").alias("p_id"), F.col("first.th").alias("p_th")).distinct()
 
 
-def removals(seqs: DataFrame, least: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
+def removals(seqs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """(doc_id, th, gone array<int>): the lines, from 0, that leave each document that loses any."""
     earlier = seqs.select(F.col("doc_id").alias("p_id"), F.col("th").alias("p_th"), F.col("hashes").alias("p_hashes"), F.col("words").alias("p_words"))
-    both = pairs(seqs, rare).join(earlier, ["p_id", "p_th"]).join(seqs, ["doc_id", "th"]).select("doc_id", "th", "p_hashes", "p_words", "hashes", "words")
+    both = pairs(seqs).join(earlier, ["p_id", "p_th"]).join(seqs, ["doc_id", "th"]).select("doc_id", "th", "p_hashes", "p_words", "hashes", "words")
     schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("gone", pa.list_(pa.int32()))])
 
     def align(batches):
@@ -154,7 +157,7 @@ def removals(seqs: DataFrame, least: int = MIN_WORDS, rare: int = RARE) -> DataF
 def without_repeats(docs: DataFrame, least: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
     """(_row: the columns of docs, text: what stays, _lines, _gone: numbers of lines)."""
     seqs = write_table(sequences(docs, least).dropDuplicates(["doc_id", "th"]), "lines")
-    gone = removals(seqs, least, rare).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("gone").alias("_gone"))
+    gone = removals(seqs, least).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("gone").alias("_gone"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64(text).alias("_th"))
     lines = F.split(F.col("_row.text"), "\n", -1)

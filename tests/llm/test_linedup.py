@@ -109,3 +109,35 @@ def test_runs_cover_blocks():
             for k in range(i + 1, len(own) + 1):
                 if sum(own[i:k]) >= L.MIN_WORDS:
                     assert set(range(i, k)) == {x for a, b in found if i <= a and b <= k for x in range(a, b)}
+
+
+def test_passage_twice_in_one_document():
+    line = lambda k, n=18: " ".join(f"{k}x{i}" for i in range(n))
+    x1, x2, z1, z2, z3, p1, p2, p3 = map(line, "x1 x2 z1 z2 z3 p1 p2 p3".split())
+    once, twice = [x1, p1, p2, p3, x2], [z1, p1, p2, "", p3, z2, p1, p2, p3, z3]
+    gone = lambda a, b: L.repeated_lines(*L.line_hashes("\n".join(a)), *L.line_hashes("\n".join(b)))
+    assert gone(once, twice) == [1, 2, 4, 6, 7, 8]
+    assert gone(twice, once) == [1, 2, 3]
+    assert gone([p1, p2, x1, z1, z2], [z1, z2, x2, p1, p2]) == [0, 1, 3, 4]
+    assert gone([x1, p1, x2], [z1, p1, z2, p1]) == []  # 18 words
+
+
+def test_every_block_of_any_earlier_document_goes(spark):
+    rng = random.Random(11)
+    pool = [" ".join(f"{i}w{j}" for j in range(rng.choice([3, 8, 12, 22]))) for i in range(14)] + [""]
+    data = [(i, "\n".join(rng.choices(pool, k=rng.randrange(1, 14)))) for i in range(90)]
+    seq = [[(x, n) for n, x in enumerate(t.split("\n")) if x] for _, t in data]
+
+    def blocks(own):
+        for i in range(len(own)):
+            for k in range(i + 1, len(own) + 1):
+                if sum(len(x.split()) for x, _ in own[i:k]) >= L.MIN_WORDS:
+                    yield tuple(x for x, _ in own[i:k]), {n for _, n in own[i:k]}
+
+    seen, want, aligned = set(), {}, {}
+    for d, own in enumerate(seq):
+        want[d] = set().union(*(at for lines, at in blocks(own) if lines in seen))
+        aligned[d] = set().union(*(L.repeated_lines(*L.line_hashes(data[e][1]), *L.line_hashes(data[d][1])) for e in range(d)))
+        seen |= {lines for lines, _ in blocks(own)}
+    got = {r[0]: set(r[2]) for r in L.removals(L.sequences(spark.createDataFrame(data, "doc_id long, text string"))).collect()}
+    assert got == {d: x for d, x in want.items() if x} == {d: x for d, x in aligned.items() if x}
