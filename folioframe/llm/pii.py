@@ -2,8 +2,7 @@
 
 The field labels words as outside, name or secret (begin, inside) from the shapes of the word and its two
 neighbours and from cue words, and is trained on a small labelled table by its likelihood's gradient. Viterbi
-decodes the lines of a group of texts side by side in numpy; a line is one sequence, and every CUT words a new one begins
-(shapes of neighbours still count across). Its spans come on top of the base patterns' spans, which always stay.
+decodes the lines of a group of texts side by side in numpy; a line is one sequence, however long. Its spans come on top of the base patterns' spans, which always stay.
 
 Nulls and empty texts have no spans. Equal texts get equal spans, rows repeat as they came, further columns are ignored, and an
 empty table gives an empty result. All scans are linear in a text's length.
@@ -22,7 +21,7 @@ from folioframe.llm.common import per_text, table, worker_cache
 
 BASE, ADDED = ("email", "ip", "card", "phone"), ("name", "secret")
 LABELS = ("O", "B-name", "I-name", "B-secret", "I-secret")
-CUT, GROUP_WORDS, KNOWN_WORDS = 256, 400_000, 300_000
+GROUP_WORDS, KNOWN_WORDS = 400_000, 300_000
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")  # a later start in the same run of digits fails like the first
@@ -72,7 +71,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def shape(word: str) -> str:
     """Upper case X, lower case x, digits 9, others as they are; runs collapse, and long mixed words become MIX."""
-    kinds = ["X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word[:400]]
+    kinds = ["X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word]
     runs = [c for i, c in enumerate(kinds) if not i or c != kinds[i - 1]]
     core = [c for c in runs if c in "Xx9"]
     if len(core) > 5 and "9" in core and len(word) >= 16:
@@ -256,12 +255,8 @@ class Field:
         before[1:], after[:-1] = ids[:-1], ids[1:]
         before[begin], after[begin + lens - 1] = 0, 0
         e = self.emit[0][before] + self.emit[1][ids] + self.emit[2][after]
-        # sequences of CUT words at most
-        pieces = -(-lens // CUT)
-        start = np.repeat(begin, pieces) + CUT * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
-        size = np.minimum(CUT, np.repeat(begin + lens, pieces) - start)
-        order = np.argsort(-size, kind="stable")
-        start, size = start[order], size[order]
+        order = np.argsort(-lens, kind="stable")
+        start, size = begin[order], lens[order]
         most = int(size[0]) if len(size) else 0
         count = np.searchsorted(-size, -np.arange(1, most + 1), side="right")
         back = np.zeros((len(ids), len(LABELS)), np.int8)
@@ -269,6 +264,8 @@ class Field:
         for t in range(1, most):
             m = count[t]
             at = start[:m] + t
+            if t % 64 == 0:  # values of a long line would outgrow single precision; only their differences count
+                v[:m] -= v[:m].max(1, keepdims=True)
             step = v[:m, :, None] + self.move
             arg = step.argmax(1)
             back[at] = arg

@@ -79,3 +79,32 @@ def test_query_rows(spark):
     assert set(base.split(",")) < set(by[0].spans.split(",")) and "name:8:18" in by[0].spans
     assert "secret:9:49" in by[1].spans and by[2].spans == by[3].spans == by[4].spans == by[5].spans == ""
     assert P.find(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_long_line_is_one_sequence(field):
+    rng = np.random.default_rng(4)
+    lens = np.array([3, 1500, 256, 257, 700])
+    ids = rng.integers(0, len(field.emit[0]), lens.sum())
+    got, at = field.viterbi(ids, lens), 0
+    for n in lens:
+        s = [0, *ids[at : at + n], 0]
+        e = [(field.emit[0][s[t]] + field.emit[1][s[t + 1]] + field.emit[2][s[t + 2]]).astype(float) for t in range(n)]
+        v = [field.first + e[0]]
+        for t in range(1, n):
+            v.append((v[-1][:, None] + field.move).max(0) + e[t])
+        y = got[at : at + n]
+        value = field.first[y[0]] + sum(e[t][y[t]] for t in range(n)) + sum(float(field.move[a, b]) for a, b in zip(y, y[1:]))
+        assert value == pytest.approx(v[-1].max(), abs=1e-3)
+        at += n
+
+
+def test_span_does_not_depend_on_its_place(field):
+    for n in (10, 250, 251, 252, 253, 254, 255, 256, 510, 511, 20_000):
+        text = "word " * n + "asked Dr. Wanda Voss Tamm about"
+        at = 5 * n + len("asked Dr. ")
+        assert field.spans([text]) == [[(at, at + len("Wanda Voss Tamm"), "name")]], n
+
+
+def test_shape_of_the_whole_word():
+    assert P.shape("x" * 400) == P.shape("x" * 500) == "LONG"
+    assert P.shape("x" * 400 + "-9") == "x-9" and P.shape("x" * 400 + "9Xx9Xx") == "MIX"
