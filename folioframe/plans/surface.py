@@ -81,7 +81,7 @@ def udf_minilm(spark, sf):
 
 @query("str_unicode_normalize")
 def str_unicode_normalize(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.md5(M.unicode_normal(F.substring("text", 1, 500)).cast("binary")).alias("normal"))
+    return table(spark, sf, "documents").select("doc_id", F.md5(M.unicode_normal(F.col("text")).cast("binary")).alias("normal"))
 
 
 @query("str_sequence_ratio")
