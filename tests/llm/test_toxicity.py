@@ -51,6 +51,49 @@ def test_ftrl_matches_plain_form():
         X.L1, X.BALANCE = old
 
 
+def plain_places(text):
+    """Features one at a time, in Python's whole numbers."""
+    marks = set("\t\n\x0b\x0c\r.,;:!?\"()[]{}<>|*#$%&/\\=+~` ")
+    words, now = [], ""
+    for c in "".join(c.lower() if "A" <= c <= "Z" else c for c in text) + " ":
+        if c in marks:
+            if now:
+                words.append(now)
+            now = ""
+        else:
+            now += c
+    h = [zlib.crc32(w.encode()) for w in words]
+    full = [x * 0xFF51AFD7ED558CCD for x in h]
+    full += [(a * 0x9E3779B97F4A7C15 % 2**64) ^ (b * 0xC2B2AE3D27D4EB4F % 2**64) for a, b in zip(h, h[1:])]
+    full += [(a * 0x165667B19E3779F9 % 2**64) ^ (b * 0x27D4EB2F165667C5 % 2**64) for a, b in zip(h, h[2:])]
+    return [x % 2**64 >> (64 - X.BITS) for x in full]
+
+
+def test_features_and_score_against_plain_form():
+    rng = random.Random(6)
+    pieces = ["One", "two,", "ÉTÉ", "a=b", "x", "(y)", "\n", " ", "  ", "don't", "😀"]
+    texts = ["", " . ", "Word", "A b"] + [" ".join(rng.choices(pieces, k=rng.randrange(40))) for _ in range(60)]
+    weights = {p: rng.uniform(-2, 2) for t in texts[:30] for p in plain_places(t)}
+    at = np.array(sorted(weights), np.int32)
+    one = X.scorer({"at": at, "w": np.array([weights[int(i)] for i in at]), "bias": -0.3})
+    for t in texts:
+        assert sorted(X.hashed(t).tolist()) == sorted(plain_places(t))
+        want = 1 / (1 + np.exp(-(sum(weights.get(p, 0.0) for p in set(plain_places(t))) - 0.3)))
+        assert one(t) == pytest.approx(want, abs=1e-5)
+
+
+def test_places_have_a_bound(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"w{i} x{i} y{i}") for i in range(1, 40)] + [(1, "w1")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 40)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(X, "train", lambda rows, **k: seen.append(rows) or {"at": np.zeros(0, np.int32), "w": np.zeros(0), "bias": 0.0})
+    X.fit(docs, labels)
+    monkeypatch.setattr(X, "TRAIN_PLACES", 60)
+    X.fit(docs, labels)
+    assert len(seen[0]) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(1, 40))
+    assert 54 <= sum(len(a) for a, _ in seen[1]) <= 60
+
+
 def test_held_out_accuracy_and_edges(spark):
     rows = corpus()
     docs = spark.createDataFrame([(d, t, 0.5) for d, t, _ in rows] + [(5000, None, 0.1), (5001, "", 0.1), (None, "grubby", 0.1), (0, rows[0][1], 0.1), (5002, "grubby vilest rotten " * 20000, 0.1)], "doc_id long, text string, score double")
