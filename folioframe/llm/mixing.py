@@ -5,11 +5,13 @@ shards by their sizes in the same way, so that every shard has an integer quota.
 seeded order; whole passes over the shard are taken first, and the rest of the quota is a run of blocks from a seeded
 place on, around the end. No source takes more than twice its words.
 
-A shard is a seeded part of one source of about SHARD_WORDS words (PARTS parts of a source at most), so a source that
-holds a third of all rows is many shards. The driver holds one row a source and one a shard.
+A shard is a seeded part of one source of about SHARD_WORDS words, as many as the source needs, so a source that
+holds a third of all rows is many shards and no task grows with it. The driver holds three numbers a shard, which is
+one part in two millions of the text, and one row a source (a source is a kind of origin; a column of ids would be none).
 
 Null texts have no words and are never taken; a null source is a source, the last one. Repeated rows count and are taken each on its own;
-rows without a doc_id share one place in the seeded order. An empty table gives an empty result.
+rows without a doc_id are placed by their texts. A very long text is one row of its shard, and its words are cut only where a part of
+it is taken. Equal places are settled by doc_id, size and text. An empty table gives an empty result.
 Further columns are ignored by plan() and kept by mixed().
 """
 
@@ -19,13 +21,14 @@ import hashlib
 import heapq
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioframe.llm.common import table, write_table
 
 WEIGHTS, SHARE, MOST, SEED = (5, 2, 1), 1.5, 2, 17
-BLOCK, SHARD_WORDS, PARTS = 8, 1_000_000, 4096
+BLOCK, SHARD_WORDS = 8, 8_000_000
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -88,7 +91,7 @@ def sized(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
         doc_id.alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.regexp_count(text, F.lit(WORDS)).cast("long").alias("size"),
-        F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary")).alias("h"),
+        F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(doc_id.cast("string"), F.concat(F.lit("t:"), text))).cast("binary")).alias("h"),
         F.xxhash64(text).alias("th"),
         *([F.struct(*(F.col(f"`{c}`") for c in carry)).alias("_row")] if carry else []),
     )
@@ -105,17 +108,17 @@ def plan(rows: DataFrame, whole: DataFrame | None = None) -> DataFrame:
     found = sorted(rows.groupBy("source").agg(F.sum("size").alias("n")).collect(), key=lambda r: (r.source is None, r.source or ""))
     sizes, weights = [int(r.n) for r in found], [WEIGHTS[i % len(WEIGHTS)] for i in range(len(found))]
     goal = targets(sizes, weights) if found else []
-    parts = [min(PARTS, max(1, -(-s // SHARD_WORDS))) for s in sizes]
+    parts = [max(1, -(-s // SHARD_WORDS)) for s in sizes]
     sources = spark.createDataFrame([(i, r.source, s, g, p) for i, (r, s, g, p) in enumerate(zip(found, sizes, goal, parts))], "rn int, _source string, source_size long, target double, parts long")
 
     def dealt(df):
         placed = df.join(sources, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
         return placed.withColumn("shard", _start(F.col("h")) % F.col("parts"))
 
-    per_shard = dealt(rows).groupBy("rn", "shard").agg(F.sum("size").alias("n")).orderBy("rn", "shard").collect()
+    per_shard = dealt(rows).groupBy("rn", "shard").agg(F.sum("size").alias("n")).toArrow().sort_by([("rn", "ascending"), ("shard", "ascending")])
     shards: list[list[tuple[int, int, int]]] = [[] for _ in found]
-    for r in per_shard:
-        shards[r.rn].append((int(r.shard), int(r.n), -(-int(r.n) // BLOCK)))
+    for rn, shard, n in zip(*(per_shard.column(x).to_numpy().tolist() for x in ("rn", "shard", "n"))):
+        shards[rn].append((shard, n, -(-n // BLOCK)))
     quotas = sainte_lague(goal, int(SHARE * sum(sizes) / BLOCK + 0.5), [MOST * sum(b for *_, b in x) for x in shards]) if found else []
     plans = []
     for rn, (own, quota) in enumerate(zip(shards, quotas)):
@@ -125,7 +128,8 @@ def plan(rows: DataFrame, whole: DataFrame | None = None) -> DataFrame:
             a, b = first * BLOCK, (first + rest) * BLOCK
             around = max(0, first + rest - blocks) * BLOCK
             plans.append((rn, shard, full, a, min(b, n), min(around, n)))
-    chosen = spark.createDataFrame(plans, "rn int, shard long, full long, a long, b long, around long")
+    names = ("rn", "shard", "full", "a", "b", "around")
+    chosen = spark.createDataFrame(pa.table([pa.array(x, pa.int64()) for x in zip(*plans)] if plans else [pa.array([], pa.int64()) for _ in names], names))
     order = Window.partitionBy("rn", "shard").orderBy("h", "doc_id", "size", "th")
     at = dealt(whole if whole is not None else rows).withColumn("stop", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))).join(chosen, ["rn", "shard"])
     begin = F.col("stop") - F.col("size")
@@ -161,7 +165,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL = rf"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORDS}'))::BIGINT AS size,
-         md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')) AS h
+         md5('{SEED}:' || coalesce(doc_id::VARCHAR, 't:' || coalesce(text, ''))) AS h
   FROM documents),
 s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 s1 AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rn FROM s0),
@@ -171,7 +175,7 @@ s4 AS (SELECT *, (total - coalesce(sum({MOST} * source_size) OVER (ORDER BY rati
          / sum(w) OVER (ORDER BY ratio, rn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS level FROM s3),
 level AS (SELECT level AS lv FROM s4 WHERE level <= ratio ORDER BY ratio, rn LIMIT 1),
 s AS (SELECT rn, source, source_size, total, least({MOST} * source_size::DOUBLE, lv * w)::DOUBLE AS target,
-         least({PARTS}, greatest(1, (source_size + {SHARD_WORDS - 1}) // {SHARD_WORDS}))::BIGINT AS parts FROM s4, level),
+         greatest(1, (source_size + {SHARD_WORDS - 1}) // {SHARD_WORDS})::BIGINT AS parts FROM s4, level),
 p AS (SELECT d.*, s.rn, s.source_size, s.target, s.total, ('0x' || h[1:8])::BIGINT % s.parts AS shard
       FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
 b AS (SELECT rn, shard, any_value(target) AS target, any_value(total) AS total, sum(size)::BIGINT AS n,
