@@ -16,14 +16,13 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
-import uuid
 import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.llm.common import table, write_table
+from folioframe.llm.common import drop_table, table, write_table
 
 #: Bytes of records in an archive, more or less; a longer single record still goes into one.
 ARCHIVE, LEVEL, CHUNK = 8 << 20, 3, 1 << 20
@@ -162,11 +161,14 @@ def write_archives(typed: DataFrame, archive_bytes: int = ARCHIVE) -> DataFrame:
     schema = pa.schema([("archive", pa.string()), ("data", pa.binary())])
 
     def run(batches):
-        z, parts, size = None, [], 0
+        from pyspark import TaskContext
+
+        z, parts, size, made = None, [], 0, 0
+        part = TaskContext.get().partitionId()
 
         def close():
             parts.append(z.flush())
-            return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), pa.array([b"".join(parts)], pa.binary())], schema=schema)
+            return pa.RecordBatch.from_arrays([pa.array([f"{part:07d}-{made:05d}"]), pa.array([b"".join(parts)], pa.binary())], schema=schema)
 
         for b in batches:
             for page_id, url, html, kind, refers_to in zip(*(c.to_pylist() for c in b.columns)):
@@ -177,7 +179,7 @@ def write_archives(typed: DataFrame, archive_bytes: int = ARCHIVE) -> DataFrame:
                 size += len(raw)
                 if size >= archive_bytes:
                     yield close()
-                    z = None
+                    z, made = None, made + 1
         if z is not None:
             yield close()
 
@@ -229,4 +231,6 @@ def read_records(normal: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = write_table(write_archives(with_types(table(spark, sf_dir, "pages"))), "monolithic")
-    return read_records(write_table(normalise(archives), "normal"))
+    normal = write_table(normalise(archives), "normal")
+    drop_table(archives)  # its records stand in the normal form now
+    return read_records(normal)
