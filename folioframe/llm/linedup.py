@@ -9,7 +9,8 @@ has. Alignments are made on the texts as they came, so a block's first holder al
 
 Lines are compared without blanks at their ends; lines without words are no part of an alignment and stay. Rows without a doc_id stay as they are.
 Rows of one doc_id count as one document where their texts agree, and stay alike; where they differ, the text's hash orders
-them. Null texts have no lines and stay null. An empty table gives an empty result. Further columns of any name stay as they are.
+them. Null texts have no lines and stay null. A very long text is one sequence of lines; all steps but the patience diff's sort are
+linear in it. An empty table gives an empty result. Further columns of any name stay as they are.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.llm.common import per_text, table, write_table
+from folioframe.llm.common import per_text, sliced, table, write_table
 
 MIN_WORDS = 20
 RARE = 16  # what callers may still pass as rare; runs need no further partners, so it changes nothing
@@ -145,7 +146,7 @@ def removals(seqs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("gone", pa.list_(pa.int32()))])
 
     def align(batches):
-        for b in batches:
+        for b in sliced(batches, 128):  # few pairs at a time become Python lists
             gone = [repeated_lines(*x, least) for x in zip(*(b.column(i).to_pylist() for i in range(2, 6)))]
             some = pa.array([bool(g) for g in gone], pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(gone, pa.list_(pa.int32()))], schema=schema).filter(some)
@@ -161,7 +162,8 @@ def without_repeats(docs: DataFrame, least: int = MIN_WORDS, rare: int = RARE) -
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64(text).alias("_th"))
     lines = F.split(F.col("_row.text"), "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n")
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))  # by hash, so linear in the lines
+    kept = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
     return keyed.join(gone, ["_id", "_th"], "left").select(
         "_row",
         F.when(F.col("_gone").isNull(), F.col("_row.text")).otherwise(kept).alias("text"),
