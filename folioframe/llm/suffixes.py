@@ -1,18 +1,17 @@
-"""Suffix arrays by induced sorting, and permuted common prefixes, in numpy.
+"""Suffix arrays by induced sorting, and permuted common prefixes.
 
 Suffixes are classified as L or S; leftmost S ones (LMS) start the substrings that are sorted first, by inducing from any
 order of them; their names make a reduced string, which is sorted by recursion; and one more induction sorts all
-suffixes from the LMS ones. A bucket's suffixes are induced from together, wave by wave, so the work is a few numpy
-calls a bucket and stays linear in the text. A reduced string with few suffixes a name (its buckets would be too many) is
-where the recursion ends: its suffixes are told apart by doubling, as is the case of all names being different.
+suffixes from the LMS ones. Over bytes a bucket's suffixes are induced from together, wave by wave, in a few numpy
+calls a bucket. A reduced string has about as many buckets as names, so there the same steps go over Python lists, one suffix at a
+time. Either way the work is linear, and the recursion goes on until all names differ.
 """
 
 from __future__ import annotations
 
-import numpy as np
+from itertools import accumulate
 
-#: The recursion goes on while a reduced string has this many suffixes a name or more.
-CROWD = 48
+import numpy as np
 
 
 def classify(t: np.ndarray) -> np.ndarray:
@@ -112,24 +111,60 @@ def _names(t, lms, ordered) -> tuple[np.ndarray, int]:
     return out, int(name[-1]) + 1
 
 
-def doubled(t: np.ndarray) -> np.ndarray:
-    """Suffix array of a short string of numbers by doubling the length that is compared."""
+def reduced_array(t: list[int], kinds: int) -> list[int]:
+    """Suffix array of names: numbers below kinds, of which the last is the least (a sentinel's) and stands there alone."""
     n = len(t)
-    rank = t.astype(np.int64)
-    sa, k = np.argsort(rank, kind="stable"), 1
-    while True:
-        key = rank[sa]
-        nxt = np.zeros(n, np.int64)
-        nxt[: n - k] = rank[k:] + 1 if k < n else 0
-        both = rank * (n + 2) + nxt
-        sa = np.argsort(both, kind="stable")
-        key = both[sa]
-        new = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
-        rank = np.empty(n, np.int64)
-        rank[sa] = new
-        if new[-1] == n - 1:
-            return sa.astype(np.int32)
-        k *= 2
+    if n < 3:
+        return list(range(n - 1, -1, -1))
+    is_s, after, kind = bytearray(n), t[-1], 1
+    is_s[-1] = 1
+    for i in range(n - 2, -1, -1):
+        c = t[i]
+        if c != after:
+            kind = c < after
+        is_s[i], after = kind, c
+    size = [0] * kinds
+    for c in t:
+        size[c] += 1
+    end = list(accumulate(size))
+    begin = [0, *end[:-1]]
+    lms = [i for i in range(1, n) if is_s[i] > is_s[i - 1]]
+
+    def induced(order):
+        sa = [-1] * n
+        at = end[:]
+        for p in reversed(order):
+            c = t[p]
+            at[c] -= 1
+            sa[at[c]] = p
+        at = begin[:]
+        for p in sa:  # grows to the right of where it is read
+            if p > 0 and not is_s[p - 1]:
+                c = t[p - 1]
+                sa[at[c]] = p - 1
+                at[c] += 1
+        at = end[:]
+        for i in range(n - 1, -1, -1):
+            p = sa[i]
+            if p > 0 and is_s[p - 1]:
+                c = t[p - 1]
+                at[c] -= 1
+                sa[at[c]] = p - 1
+        return sa
+
+    if len(lms) < 2:
+        return induced(lms)
+    slot = dict(zip(lms, range(len(lms))))
+    stop = [*lms[1:], n - 1]
+    name, names, last = [0] * len(lms), -1, None
+    for p in induced(lms):
+        j = slot.get(p)
+        if j is not None:
+            part = t[p : stop[j] + 1]
+            if part != last:
+                names, last = names + 1, part
+            name[j] = names
+    return induced([lms[j] for j in reduced_array(name, names + 1)])
 
 
 def suffix_array(t: np.ndarray, kinds: int) -> np.ndarray:
@@ -147,12 +182,7 @@ def suffix_array(t: np.ndarray, kinds: int) -> np.ndarray:
         mark[lms] = True
         ordered = sa[mark[sa]]
         name, names = _names(t, lms, ordered)
-        if names == len(lms):
-            lms = ordered
-        elif names * CROWD <= len(lms):
-            lms = lms[suffix_array(name, names)]
-        else:
-            lms = lms[doubled(name)]
+        lms = ordered if names == len(lms) else lms[np.array(reduced_array(name.tolist(), names), np.int32)]
     return induce(t, is_s, begin, end, lms, kinds)
 
 

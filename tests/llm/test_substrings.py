@@ -9,22 +9,28 @@ from folioframe.llm import suffixes as S
 
 def test_suffix_array_and_prefixes():
     rng = random.Random(1)
-    old = S.CROWD
-    try:
-        for _ in range(1500):
-            k, n = rng.choice([2, 3, 5, 20]), rng.randrange(0, 60)
-            t = [rng.randrange(1, k) for _ in range(n)]
-            t = t * (5 if rng.random() < 0.3 else 1) + [0]
-            S.CROWD = rng.choice([1, 2, 48])  # deep recursion, and its end by doubling
-            a = np.array(t, np.uint8)
-            sa = S.suffix_array(a, max(t) + 1)
-            assert sa.tolist() == sorted(range(len(t)), key=lambda i: t[i:])  # noqa: B023
-            phi, shared = S.permuted_prefixes(a, sa)
-            for x, y in zip(sa[1:], sa[:-1]):
-                n = next(i for i in range(len(t)) if t[x + i] != t[y + i])
-                assert phi[x] == y and shared[x] == n
-    finally:
-        S.CROWD = old
+    for _ in range(1500):
+        k, n = rng.choice([2, 3, 5, 20]), rng.randrange(0, 60)
+        t = [rng.randrange(1, k) for _ in range(n)]
+        t = t * (5 if rng.random() < 0.3 else 1) + [0]
+        a = np.array(t, np.uint8)
+        sa = S.suffix_array(a, max(t) + 1)
+        assert sa.tolist() == sorted(range(len(t)), key=lambda i: t[i:]) == S.reduced_array(t, max(t) + 1)  # noqa: B023
+        phi, shared = S.permuted_prefixes(a, sa)
+        for x, y in zip(sa[1:], sa[:-1]):
+            n = next(i for i in range(len(t)) if t[x + i] != t[y + i])
+            assert phi[x] == y and shared[x] == n
+
+
+def test_recursion_is_taken(monkeypatch):
+    """A Fibonacci word: every level's substrings repeat, so names stay few all the way down."""
+    a, b = [1], [1, 2]
+    while len(b) < 3000:
+        a, b = b, b + a
+    t, depth, inner = b + [0], [], S.reduced_array
+    monkeypatch.setattr(S, "reduced_array", lambda x, k: depth.append(len(x)) or inner(x, k))
+    assert S.suffix_array(np.array(t, np.uint8), 3).tolist() == sorted(range(len(t)), key=lambda i: t[i:])
+    assert len(depth) > 3
 
 
 def brute(texts):
