@@ -6,10 +6,18 @@ blocks at least, so each link is inside some shard. A shard holds a BK-tree (chi
 Hamming distance to the parent), and a query follows only edges within the radius. A shard returns
 one edge a member, to the root of its local group, never pairs; components join them.
 
+near_duplicates() links fingerprints of 3-word shingles at two bits. keep_one() is the near-duplicate stage: it links texts whose sets of
+5-word shingles have a Jaccard similarity of 0.8 or more. There a fingerprint within WIDE bits is no more than a candidate (0.8 is about
+10 bits of 64, give or take 3), shards share one of BANDS bands of ROWS min-hashes (a pair at 0.8 shares none with a chance of 3 in a
+million), and each candidate's similarity is computed from the whole texts. Two rounds keep groups of copies from becoming pairs:
+in the first a shard's tree gives one edge a member, in the second it gives each pair within the radius that the links of the
+first have not joined.
+
 Nulls and texts without words get fingerprint zero and link like any other. Repeated rows and exact
 copies share one fingerprint, so groups of copies collapse before anything is dealt. Rows with a
 null doc_id keep their fingerprint; a group of such rows only has a null component_id. An empty table gives an empty
-result. Further columns are ignored by near_duplicates() and kept by keep_one().
+result. A very long text is hashed in pieces, so its shingles are never a matrix. Further columns of any name are ignored by near_duplicates()
+and kept by keep_one().
 """
 
 from __future__ import annotations
@@ -22,34 +30,46 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioframe.llm.common import per_text, table, write_table
+from folioframe.llm.common import per_text, sliced, table, worker_cache, write_table
 from folioframe.llm.components import connected_components
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
 #: Block pairs that make up the shard keys; a shard of more than CROWDED fingerprints is dealt once more by the other two blocks.
 PAIRS, CROWDED = ((0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3)), 50_000
 
+#: The near-duplicate stage: words of a shingle, similarity, bits of a candidate, min-hashes.
+WORDS, SIMILARITY, WIDE, ROWS, BANDS = 5, 0.8, 20, 4, 24
+
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _OFFSETS = (np.arange(8) * 256).astype(np.int64)
 
 
-def fingerprint(text: str, size: int = SHINGLE, seed: int = SEED) -> int:
-    """Unsigned 64-bit SimHash: a bit is one if over half of the shingle hashes have it."""
+def shingles(text: str, size: int = SHINGLE, seed: int = SEED) -> np.ndarray:
+    """Hashes of a text's shingles, repeats included; of fewer words, one of all of them."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     n = len(words)
     if not n:
-        return 0
+        return np.zeros(0, np.uint64)
     line, hash64 = b" ".join(words), xxhash.xxh64_intdigest
     if n < size:
-        return hash64(line, seed)
+        return np.array([hash64(line, seed)], np.uint64)
     lens = list(map(len, words))
     starts = [0, *accumulate(x + 1 for x in lens[:-1])]
-    h = np.array([hash64(line[a : b + c], seed) for a, b, c in zip(starts, starts[size - 1 :], lens[size - 1 :])], np.uint64)
+    return np.array([hash64(line[a : b + c], seed) for a, b, c in zip(starts, starts[size - 1 :], lens[size - 1 :])], np.uint64)
+
+
+def simhash(h: np.ndarray) -> int:
+    """A bit is one if over half of the hashes have it."""
     by_byte = np.bincount((h.view(np.uint8).reshape(-1, 8) + _OFFSETS).ravel(), minlength=2048).reshape(8, 256)
     ones = (by_byte @ _BITS).ravel() * 2 > len(h)
     return int(np.packbits(ones, bitorder="little").view(np.uint64)[0])
 
 
+def fingerprint(text: str, size: int = SHINGLE, seed: int = SEED) -> int:
+    """Unsigned 64-bit SimHash."""
+    return simhash(shingles(text, size, seed))
+
+
 class BKTree:
     """Over distinct fingerprints (uint64 array): node = (pivot's index, {distance: child}); built and asked in numpy batches."""
 
@@ -90,9 +110,6 @@ class BKTree:
 def local_links(values: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Members of a shard that have a link, and the least index of their group inside the shard."""
     n = len(values)
-    if n == 2:
-        hit = bool(np.bitwise_count(values[0] ^ values[1]) <= radius)
-        return (np.array([1]), np.array([0])) if hit else (np.array([], int), np.array([], int))
     up = list(range(n))
 
     def find(x):
@@ -113,12 +130,8 @@ def local_links(values: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, n
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp long: the unsigned value's bits, th long: hash of the text)."""
-
-    def score(texts):
-        return {"fp": np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64), "th": np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), SEED) for t in texts], np.uint64).view(np.int64)}
-
-    return per_text(docs, score, "fp long, th long")
+    """(doc_id, fp long: the unsigned value's bits)."""
+    return per_text(docs, lambda texts: {"fp": np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)}, "fp long")
 
 
 def _shard(batches):
@@ -182,13 +195,12 @@ def links(distinct: DataFrame) -> DataFrame:
 
 
 def _roots(prints: DataFrame) -> DataFrame:
-    """(fp, root, first: (doc_id, th) of the row that stands for the whole group)."""
-    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th")))
-    distinct = write_table(prints.groupBy("fp").agg(first.alias("first"), F.min("th").alias("th")), "distinct")
+    """(fp, component_id: least doc_id of the whole group)."""
+    distinct = write_table(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     roots = connected_components(links(distinct.select("fp")))
-    by_fp = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first", "th")
-    tops = by_fp.groupBy("root").agg(F.min("first").alias("first"), F.min("th").alias("th"))
-    return by_fp.select("fp", "root").join(tops, "root").select("fp", "root", F.col("first.doc_id").alias("component_id"), F.coalesce("first.th", "th").alias("keep_th"))
+    by_fp = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
+    tops = by_fp.groupBy("root").agg(F.min("first").alias("component_id"))
+    return by_fp.select("fp", "root").join(tops, "root").select("fp", "component_id")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -197,18 +209,220 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return prints.join(_roots(prints), "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents with one row left of each group: that of the least doc_id (of equal ones, the least text hash)."""
-    prints = write_table(fingerprints(docs), "prints")
-    kept = prints.join(_roots(prints), "fp").where("doc_id <=> component_id AND th = keep_th").select("doc_id", "th", "root").dropDuplicates(["root"])
-    return keep_rows(docs, kept)
+def min_bands(distinct: np.ndarray, rows: int = ROWS, bands: int = BANDS) -> np.ndarray:
+    """One key a band, of rows min-hashes each. Multiplying by an odd number permutes the hashes."""
+
+    def odd():
+        rng = np.random.default_rng(SEED)
+        return [rng.integers(0, 2**64, n, dtype=np.uint64) | np.uint64(1) for n in (rows * bands, rows)]
+
+    by, mix = worker_cache(("odd", rows, bands), odd)
+    least = np.full(rows * bands, np.iinfo(np.uint64).max, np.uint64)
+    for part in np.array_split(distinct, len(distinct) // 4096 + 1):
+        if len(part):
+            least = np.minimum(least, (part[:, None] * by).min(0))
+    keys = (least.reshape(bands, rows) * mix).sum(1, dtype=np.uint64) + np.arange(bands, dtype=np.uint64) * mix[0]
+    return keys ^ (keys >> np.uint64(29))
+
+
+def sketches(docs: DataFrame, size: int = WORDS) -> DataFrame:
+    """(doc_id, th: hash of the text, sid: hash of its set of shingles, fp, keys: one a band; none without words)."""
+
+    def score(texts):
+        out: dict[str, list] = {k: [] for k in ("th", "sid", "fp", "keys")}
+        for t in texts:
+            h = shingles(t, size)
+            distinct = np.unique(h)
+            out["th"].append(xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), SEED))
+            out["sid"].append(xxhash.xxh64_intdigest(distinct.tobytes(), SEED))
+            out["fp"].append(simhash(h))
+            out["keys"].append(min_bands(distinct).view(np.int64) if len(h) else np.zeros(0, np.int64))
+        return {k: v if k == "keys" else np.array(v, np.uint64).view(np.int64) for k, v in out.items()}
+
+    return per_text(docs, score, "th long, sid long, fp long, keys array<long>")
+
+
+def tree_pairs(prints: np.ndarray, label: np.ndarray, radius: int, joining: bool) -> list[tuple[int, int]]:
+    """Pairs (i, j) of different labels whose fingerprints lie within the radius, through a BK-tree of the distinct fingerprints in the order
+    given. A subtree of one label is not entered by queries of that label. joining: all labels differ at first and each pair
+    makes two of them one, so that there are fewer pairs than members; else each pair comes once."""
+    _, first, back = np.unique(prints, return_index=True, return_inverse=True)
+    place = np.empty(len(first), np.int64)
+    order = np.argsort(first, kind="stable")
+    place[order] = np.arange(len(order))
+    back, first = place[back], first[order]  # distinct fingerprints, numbered as they first come
+    by_print = np.argsort(back, kind="stable")
+    members = np.split(by_print, np.flatnonzero(np.diff(back[by_print])) + 1)
+    values = prints[first]
+    out: list[tuple[int, int]] = []
+
+    def pairs(u, v):
+        p, q = np.repeat(members[u], len(members[v])), np.tile(members[v], len(members[u]))
+        new = (label[p] != label[q]) & ((p < q) if u == v else True)
+        out.extend(zip(p[new].tolist(), q[new].tolist()))
+
+    if joining:
+        out += [(int(m[0]), j) for m in members for j in m[1:].tolist()]
+        own = np.arange(len(values))
+    else:  # a fingerprint with several labels is like none
+        mixed = np.array([(label[m] != label[m[0]]).any() for m in members])
+        kinds, own = np.unique(label[first], return_inverse=True)
+        own[mixed] = len(kinds) + np.arange(int(mixed.sum()))
+        for v in np.flatnonzero(mixed).tolist():
+            pairs(v, v)
+    tree = BKTree(values)
+    nodes, todo = [], [tree.root]
+    while todo:  # a subtree is a slice of this order
+        nodes.append(todo.pop())
+        todo += nodes[-1][1].values()
+    line = np.array([n[0] for n in nodes])
+    at_of, end = {n[0]: i for i, n in enumerate(nodes)}, {}
+    for node in reversed(nodes):
+        end[node[0]] = max([at_of[node[0]] + 1, *(end[c[0]] for c in node[1].values())])
+
+    todo = [(tree.root, np.arange(len(values)))]
+    while todo:
+        (pivot, below), at = todo.pop()
+        d = np.bitwise_count(values[at] ^ values[pivot]).astype(np.int64)
+        near = at[d <= radius]
+        if joining:
+            near = near[own[near] != own[pivot]]
+            if len(near):
+                labels, one = np.unique(own[near], return_index=True)
+                out += [(int(first[pivot]), j) for j in first[near[one]].tolist()]
+                own[np.isin(own, labels)] = own[pivot]
+        else:
+            for v in near[near > pivot].tolist():
+                pairs(pivot, v)
+        for c, child in below.items():
+            go = at[np.abs(d - c) <= radius]
+            inner = own[line[at_of[child[0]] : end[child[0]]]]
+            if (inner == inner[0]).all():
+                go = go[own[go] != inner[0]]
+            if len(go):
+                todo.append((child, go))
+    return out
+
+
+def _candidates(joining: bool, radius: int):
+    """Of rows (key, salt, sid, fp, comp, r_sid, r_fp) sorted by key, salt and order: pairs (a, b) of sets. The root is asked in each salt."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def pairs(rows):
+        sid, fp, comp, r_sid, r_fp = (np.concatenate(x) for x in zip(*rows))
+        if joining and r_sid[0] not in sid:
+            sid, fp = np.append(r_sid[:1], sid), np.append(r_fp[:1], fp)
+        if len(sid) < 2:
+            return None
+        got = np.array(tree_pairs(fp.view(np.uint64), comp, radius, joining), np.int64).reshape(-1, 2)
+        return np.minimum(sid[got[:, 0]], sid[got[:, 1]]), np.maximum(sid[got[:, 0]], sid[got[:, 1]])
+
+    def run(batches):
+        now, held, out = None, [], []
+        for b in batches:
+            cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
+            if not b.num_rows:
+                continue
+            cuts = np.flatnonzero((cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])) + 1
+            for i, j in zip([0, *cuts], [*cuts, b.num_rows]):
+                if (cols[0][i], cols[1][i]) != now:
+                    if held and (got := pairs(held)):
+                        out.append(got)
+                    now, held = (cols[0][i], cols[1][i]), []
+                held.append([c[i:j] for c in cols[2:]])
+            if len(out) > 2000:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in out])) for k in (0, 1)], schema=schema)
+                out = []
+        if held and (got := pairs(held)):
+            out.append(got)
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in out])) for k in (0, 1)], schema=schema)
+
+    return run
+
+
+def _dealt(keyed: DataFrame, joining: bool, radius: int) -> DataFrame:
+    """Candidates (a, b) of keyed (key, sid, fp, comp): groups of a key with one label only are left out before anything is dealt. With joining a
+    crowded group is salted, and its root (the first in a fixed order) goes along with each row; else it was dealt finer before."""
+    rank = F.xxhash64("sid", F.lit(SEED))
+    found = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min(F.struct(rank.alias("rank"), "sid", "fp")).alias("r")).where("c0 <> c1")
+    found = write_table(found.select("key", "n", F.col("r.sid").alias("r_sid"), F.col("r.fp").alias("r_fp")), "groups")
+    salt = F.pmod("sid", F.ceil(F.col("n") / CROWDED)) if joining else F.lit(0).cast("long")
+    rows = keyed.join(found, "key").select("key", salt.alias("salt"), "sid", "fp", "comp", "r_sid", "r_fp", rank.alias("rank"))
+    rows = rows.repartition("key", "salt").sortWithinPartitions("key", "salt", "rank").drop("rank")
+    return rows.mapInArrow(_candidates(joining, radius), "a long, b long").distinct()
+
+
+def _finer(keyed: DataFrame, sets: DataFrame) -> DataFrame:
+    """keyed, with the groups that are still crowded dealt by two shared bands instead of one; pairs at the similarity share two almost surely too."""
+    many = write_table(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where((F.col("n") > CROWDED) & (F.col("c0") != F.col("c1"))).select("key"), "crowded")
+    if not many.limit(1).count():
+        return keyed
+    twice = keyed.join(many, "key").join(sets.select("sid", "keys"), "sid").select("key", "sid", "fp", "comp", F.explode("keys").alias("other")).where("other <> key")
+    pair = F.xxhash64(F.least("key", "other"), F.greatest("key", "other"))
+    return keyed.join(many, "key", "left_anti").unionByName(twice.select(pair.alias("key"), "sid", "fp", "comp").distinct())
+
+
+def similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, least: float) -> DataFrame:
+    """The pairs (a, b) whose sets have a Jaccard similarity of least or more, computed from their texts."""
+    nodes = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
+    reps = nodes.join(sets, "sid").select("sid", F.coalesce("doc_id", F.lit(-1)).alias("_k"), F.col("doc_id").isNull().alias("_n"), F.col("th").alias("_h"))
+    keyed = _keyed(docs).select("_k", "_n", "_h", F.col("_row.text").cast("string").alias("text"))
+    texts = write_table(keyed.join(reps, ["_k", "_n", "_h"]).select("sid", "text").dropDuplicates(["sid"]), "texts")
+    both = pairs.join(texts.select(F.col("sid").alias("a"), F.col("text").alias("t")), "a").join(texts.select(F.col("sid").alias("b"), F.col("text").alias("u")), "b")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches):
+        kept: dict[int, np.ndarray] = {}
+
+        def of(sid, text):
+            if sid not in kept:
+                if len(kept) >= 64:
+                    kept.clear()
+                kept[sid] = np.unique(shingles(text or "", size))
+            return kept[sid]
+
+        for b in sliced(batches, 128):
+            hit = []
+            for x, y, t, u in zip(*(c.to_pylist() for c in b.columns)):
+                p, q = of(x, t), of(y, u)
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                hit.append(both >= least * (len(p) + len(q) - both))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], schema=schema).filter(pa.array(hit, pa.bool_()))
+
+    return both.select("a", "b", "t", "u").mapInArrow(run, "a long, b long")
+
+
+def near_groups(docs: DataFrame, size: int = WORDS, least: float = SIMILARITY, radius: int = WIDE) -> DataFrame:
+    """(doc_id, th, root): rows of one root are joined by links of that similarity; texts of equal sets are alike."""
+    marks = write_table(sketches(docs, size), "sketches")
+    firsts = marks.groupBy("sid").agg(F.min(F.struct("th", "doc_id", "fp")).alias("x"), F.any_value("keys").alias("keys"))
+    sets = write_table(firsts.select("sid", "x.th", "x.doc_id", "x.fp", "keys"), "sets")
+    keyed = sets.select(F.explode("keys").alias("key"), "sid", "fp", F.col("sid").alias("comp"))
+    one = write_table(similar(write_table(_dealt(keyed, True, radius), "pairs"), sets, docs, size, least), "links")
+    comp = write_table(connected_components(one).select(F.col("node").alias("sid"), F.col("root").alias("comp")), "joined")
+    apart = write_table(keyed.drop("comp").join(comp, "sid", "left").withColumn("comp", F.coalesce("comp", "sid")), "apart")
+    two = similar(write_table(_dealt(_finer(apart, sets), False, radius), "pairs"), sets, docs, size, least)
+    roots = connected_components(one.union(two))
+    return marks.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("doc_id", "th", F.coalesce("root", "sid").alias("root"))
+
+
+def keep_one(docs: DataFrame, size: int = WORDS, least: float = SIMILARITY) -> DataFrame:
+    """The documents with one row left of each near-duplicate group: that of the least doc_id (of equal ones, the least text hash)."""
+    groups = write_table(near_groups(docs, size, least), "near")
+    kept = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("x"))
+    return keep_rows(docs, kept.select("x.doc_id", "x.th"))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
+    return docs.select(row, F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("_k"), F.col("doc_id").isNull().alias("_n"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_h"))
 
 
 def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """Rows of docs whose (doc_id, th) is in kept, one of each where rows repeat."""
     kept = kept.select(F.coalesce("doc_id", F.lit(-1)).alias("_k"), F.col("doc_id").isNull().alias("_n"), F.col("th").alias("_h"))
-    keyed = docs.select(F.struct(*docs.columns).alias("_row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("_k"), F.col("doc_id").isNull().alias("_n"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_h"))
-    return keyed.join(kept, ["_k", "_n", "_h"], "left_semi").dropDuplicates(["_k", "_n", "_h"]).select("_row.*")
+    return _keyed(docs).join(kept, ["_k", "_n", "_h"], "left_semi").dropDuplicates(["_k", "_n", "_h"]).select("_row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

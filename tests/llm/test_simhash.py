@@ -1,4 +1,6 @@
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import xxhash
@@ -8,8 +10,6 @@ from folioframe.llm import simhash
 
 def brute(text):
     low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
-    import re
-
     words = re.findall(r"[^\x20\x09-\x0D]+", low)
     if not words:
         return 0
@@ -68,8 +68,92 @@ def test_components_match_brute(spark):
             least[find(i)] = min(least.get(find(i), d), d)
     want = sorted(((d, f"{f:016x}", least.get(find(i))) for i, (d, f) in enumerate(zip((d for d, _ in docs), fps))), key=str)
     assert sorted(((r.doc_id, r.fingerprint, r.component_id) for r in got), key=str) == want
-    kept = simhash.keep_one(spark.createDataFrame([(d, t, 1) for d, t in docs], "doc_id long, text string, _h int")).collect()
-    assert len(kept) == len({find(i) for i in range(len(docs))})
+
+
+def brute_shingles(text, size=5):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    return frozenset(" ".join(words[i : i + size]) for i in range(len(words) - size + 1)) or frozenset([" ".join(words)] if words else [])
+
+
+def brute_keep(docs, least=0.8):
+    """Rows (doc_id, text, ...) that stay: all pairs compared, one row of each group."""
+    sets = [brute_shingles(r[1] or "") for r in docs]
+    up = list(range(len(docs)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in range(len(docs)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both >= least * (len(sets[i]) + len(sets[j]) - both):
+                up[find(i)] = find(j)
+    best = {}
+    for i, r in enumerate(docs):
+        k, key = find(i), (r[0] is None, r[0] or 0, signed(r[1] or ""))
+        if k not in best or key < best[k][0]:
+            best[k] = key, r
+    return [r for _, r in best.values()]
+
+
+def signed(text):
+    x = xxhash.xxh64_intdigest(text.encode(), 42)
+    return x - 2**64 if x >= 2**63 else x
+
+
+def edited():
+    """Documents with copies at similarities on both sides of 0.8, chains of them, and a crowd of near copies."""
+    rng = random.Random(9)
+    vocab = [f"v{i}" for i in range(900)]
+    out = []
+    for i in range(60):
+        words = rng.choices(vocab, k=rng.choice([3, 4, 6, 40, 150, 400]))
+        out.append((i, " ".join(words)))
+        for j in range(rng.choice([0, 1, 2, 4])):
+            words = words[:]
+            for _ in range(rng.choice([0, 1, 2, 4, 8])):
+                words[rng.randrange(len(words))] = rng.choice(vocab)
+            out.append((100 + 10 * i + j, " ".join(words)))
+    base = rng.choices(vocab, k=200)
+    for i in range(80):
+        words = base[:]
+        words[rng.randrange(200)] = f"own{i}"
+        out.append((1000 + i, "  ".join(words).upper()))
+    return out + [(2000, None), (2001, ""), (2002, " \n"), (2003, "two words"), (None, "Two  WORDS"), (None, "no id"), (3, out[3][1]), (3, out[3][1])]
+
+
+def test_keep_one_matches_brute(spark, monkeypatch):
+    docs = edited()
+    df = spark.createDataFrame([(d, t, 1, 2) for d, t in docs], "doc_id long, text string, _h int, `a.b` int")
+    want = Counter(brute_keep(docs))
+    assert Counter((r[0], r[1]) for r in simhash.keep_one(df).collect()) == want
+    assert simhash.keep_one(df).columns == df.columns
+    monkeypatch.setattr(simhash, "CROWDED", 7)  # salted and finer groups
+    assert Counter((r[0], r[1]) for r in simhash.keep_one(df.repartition(5)).collect()) == want
+
+
+def test_tree_pairs():
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        base = rng.integers(0, 2**63, 4, dtype=np.uint64)
+        v = np.concatenate([base[rng.integers(0, 4, 30)] ^ (np.uint64(1) << rng.integers(0, 63, 30).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 63, 30).astype(np.uint64)), base])
+        label = rng.integers(0, 5, len(v))
+        near = [(i, j) for i in range(len(v)) for j in range(i + 1, len(v)) if int(v[i] ^ v[j]).bit_count() <= 3]
+        got = simhash.tree_pairs(v, label, 3, False)
+        assert sorted(tuple(sorted(p)) for p in got) == [p for p in near if label[p[0]] != label[p[1]]]
+
+        def parts(pairs):
+            up = list(range(len(v)))  # noqa: B023
+            for i, j in pairs:
+                a, b = up[i], up[j]
+                up = [b if x == a else x for x in up]
+            return Counter(tuple(i for i, x in enumerate(up) if x == y) for y in set(up))
+
+        joined = simhash.tree_pairs(v, np.arange(len(v)), 3, True)
+        assert parts(joined) == parts(near) and len(joined) == len(v) - len(parts(near))
 
 
 def test_empty_table(spark):
