@@ -23,6 +23,33 @@ def key_hits(words: DataFrame, keys: DataFrame, key: str = "page_id") -> DataFra
     return words.withColumn("term", bare).join(keys, "term").withColumn("colon", F.col("word").endswith(":"))
 
 
+def _variants(x: Column) -> Column:
+    """A string and all that are left of it without one letter: two strings one edit apart share one of these."""
+    cut = F.transform(F.sequence(F.lit(1), F.length(x)), lambda i: F.concat(F.substring(x, F.lit(1), i - 1), F.substring(x, i + 1, F.length(x))))
+    return F.array_distinct(F.concat(F.array(x), F.when(F.length(x) >= 4, cut).otherwise(F.array().cast("array<string>"))))
+
+
+def phrase_hits(words: DataFrame, keys: DataFrame, key: str = "page_id", most: int = 4, fuzzy_from: int = 5) -> DataFrame:
+    """(page, line, place, n, term, field): phrases of one to most words of a line that are a key of the catalogue (term, field), or one edit
+    from one of fuzzy_from letters or more. Words count without marks and case. Where hits overlap, the longer ones stay. Keys meet phrases
+    by an equi-join on what is left without a letter, so a catalogue of any size is no cross join."""
+    bare = words.withColumn("bare", F.lower(F.regexp_replace("word", r"[^\p{L}\p{N}]+", ""))).where("bare <> ''")
+    line = Window.partitionBy(key, "line").orderBy("pos")
+    placed = bare.withColumn("place", F.row_number().over(line)).withColumns({f"w{i}": F.lead("bare", i).over(line) for i in range(1, most)})
+    parts = ["bare", *(f"w{i}" for i in range(1, most))]
+    each = F.array_compact(F.array(*(F.when(F.col(parts[n - 1]).isNotNull(), F.struct(F.lit(n).alias("n"), F.concat_ws(" ", *parts[:n]).alias("phrase"))) for n in range(1, most + 1))))
+    phrases = placed.select(key, "line", "place", F.explode(each).alias("x")).select(key, "line", "place", "x.n", "x.phrase")
+    asked = keys.withColumn("v", F.explode(_variants(F.col("term"))))
+    known = phrases.select("phrase").distinct().withColumn("v", F.explode(_variants(F.col("phrase")))).join(asked, "v")
+    edits = F.levenshtein("phrase", "term", 1)
+    known = known.where((F.col("phrase") == F.col("term")) | ((F.length("term") >= fuzzy_from) & (edits >= 0))).select("phrase", "term", "field").distinct()
+    hits = phrases.join(known, "phrase")
+    longer = hits.select(key, "line", F.col("place").alias("p_"), F.col("n").alias("n_")).distinct()
+    over = (F.col("n_") > F.col("n")) & (F.col("p_") < F.col("place") + F.col("n")) & (F.col("place") < F.col("p_") + F.col("n_"))
+    beaten = hits.join(longer, [key, "line"]).where(over).select(key, "line", "place", "n").distinct()
+    return hits.join(beaten, [key, "line", "place", "n"], "left_anti").select(key, "line", "place", "n", "term", "field")
+
+
 def trusted(hits: DataFrame, key: str = "page_id", near: int = 2) -> DataFrame:
     """A key is trusted with a colon, or beside another key within near lines."""
     w = Window.partitionBy(key).orderBy("line").rangeBetween(-near, near)
@@ -49,6 +76,14 @@ def nearest_value(words: DataFrame, hits: DataFrame, pattern: str, key: str = "p
     return v.where(after).groupBy(key, "field").agg(F.min_by("value", far).alias("value"))
 
 
+def nearest_values(words: DataFrame, keys: DataFrame, key: str = "page_id") -> DataFrame:
+    """nearest_value() for all fields of a catalogue (term, field, pattern) in one search."""
+    v = words_in_boxes(words, window(key_hits(words, keys, key)), key).where(F.expr("value rlike pattern"))
+    after = (F.col("v_line") > F.col("line")) | (F.col("v_pos") > F.col("pos"))
+    far = F.struct(F.col("v_line") - F.col("line"), F.abs(F.col("v_pos") - F.col("pos")), "v_line", "v_pos", "line", "pos")
+    return v.where(after).groupBy(key, "field").agg(F.min_by("value", far).alias("value"))
+
+
 def region(top: Column, height: Column) -> Column:
     return F.when(top < height * 0.15, "header").when(top > height * 0.85, "footer").otherwise("mid")
 

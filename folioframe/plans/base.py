@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Ids of a stretch, see pages().
+STRETCH = 4096
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -29,9 +32,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def pages(spark, sf_dir) -> DataFrame:
-    """Documents as pages: a source is a chart, doc_id orders its pages."""
-    d = table(spark, sf_dir, "documents")
-    return d.select(F.col("source").alias("chart"), F.col("doc_id").alias("page_id"), F.row_number().over(Window.partitionBy("source").orderBy("doc_id")).cast("long").alias("page_no"), "text", "lang", "n_chars")
+    """Documents as pages: a source is a chart, doc_id orders its pages. Sources are few and large, so a page's number is the count of
+    the chart's pages in earlier stretches of ids, one row a stretch, and its place in its own stretch: no window holds more than STRETCH
+    pages."""
+    d = table(spark, sf_dir, "documents").select(F.col("source").alias("chart"), F.col("doc_id").alias("page_id"), F.floor(F.col("doc_id") / STRETCH).alias("stretch"), "text", "lang", "n_chars")
+    before = Window.partitionBy("chart").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    counts = d.groupBy("chart", "stretch").count().select(F.col("chart").alias("c"), F.col("stretch").alias("s"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("earlier"))
+    own = F.row_number().over(Window.partitionBy("chart", "stretch").orderBy("page_id"))
+    placed = d.withColumn("place", own).join(counts, F.col("chart").eqNullSafe(F.col("c")) & (F.col("stretch") == F.col("s")))
+    return placed.select("chart", "page_id", (F.col("place") + F.col("earlier")).cast("long").alias("page_no"), "text", "lang", "n_chars")
+
+
+def with_previous(p: DataFrame) -> DataFrame:
+    """pages() with the text of the page before (prev), without each chart's first: by a join on the page's number, which deals a chart out."""
+    before = p.select(F.col("chart").alias("_c"), (F.col("page_no") + 1).alias("_n"), F.col("text").alias("prev"))
+    return p.join(before, F.col("chart").eqNullSafe(F.col("_c")) & (F.col("page_no") == F.col("_n"))).drop("_c", "_n").where("prev is not null")
 
 
 PAGES = """pages_a AS (SELECT source AS chart, doc_id AS page_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS page_no,

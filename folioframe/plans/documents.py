@@ -10,6 +10,7 @@ from folioframe.functions import strings as S
 from folioframe.operators import folds, rules
 from folioframe.operators import keyvalues as K
 from folioframe.operators import sequence as Q
+from folioframe.operators.shared import components
 from folioframe.plans.base import ORDER_PAGES, PAGES, order_pages, pages, query, table
 
 _O = f"WITH {ORDER_PAGES}"
@@ -18,12 +19,12 @@ _KEYS = [("name", "name"), ("dob", "dob"), ("id", "id"), ("provider", "provider"
 
 def _sheets(spark, sf):
     """A page of text for each order line, with keys and values in known places."""
-    p = order_pages(spark, sf).where("page_no <= 3")
-    t = F.concat(F.lit("Page "), F.col("page_no").cast("string"), F.lit(" of 9\nName: Ana"), F.col("doc_hint").cast("string"), F.lit(" DOB: "), F.date_format("dos", "MM/dd/yyyy"), F.lit("\nID: A"), F.col("part").cast("string"), F.lit(" or B1\nProvider: Costa, MD\nDOS "), F.col("dos").cast("string"), F.lit("\nmid line\nSigned: "), F.date_format("dos", "MM/dd/yyyy"))
+    p = order_pages(spark, sf)
+    t = F.concat(F.lit("Page "), F.col("page_no").cast("string"), F.lit(" of 99\nName: Ana"), F.col("doc_hint").cast("string"), F.lit(" DOB: "), F.date_format("dos", "MM/dd/yyyy"), F.lit("\nID: A"), F.col("part").cast("string"), F.lit(" or B1\nProvider: Costa, MD\nDOS "), F.col("dos").cast("string"), F.lit("\nmid line\nSigned: "), F.date_format("dos", "MM/dd/yyyy"))
     return p.select((F.col("chart") * 1000 + F.col("page_no")).alias("page_id"), "chart", "page_no", "dos", "doc_hint", "part", t.alias("text"))
 
 
-_SHEET = f"{_O}, s AS (SELECT chart * 1000 + page_no AS page_id, * FROM pages_o WHERE page_no <= 3)"
+_SHEET = f"{_O}, s AS (SELECT chart * 1000 + page_no AS page_id, * FROM pages_o)"
 
 
 def _words(spark, sf):
@@ -56,6 +57,23 @@ def join_key_catalog(spark, sf):
     return _hits(spark, sf).groupBy("page_id", "field").agg(F.count("*").alias("hits"))
 
 
+_PHRASES = [("thank you", "thanks"), ("could you", "ask"), ("you", "person"), ("please", "ask"), ("the answer", "answer"), ("question about the", "question"), ("answer", "answer")]
+
+
+@query("kv_key_phrases", "WITH k AS (SELECT unnest(" + str([k for k, _ in _PHRASES]) + ") AS term, unnest(" + str([f for _, f in _PHRASES]) + """) AS field),
+c AS (SELECT conv_id, turn, unnest(range(1, len(l) + 1)) AS line, unnest(l) AS t FROM (SELECT conv_id, turn, string_split(coalesce(text, ''), chr(10)) AS l FROM conversations)),
+w AS (SELECT conv_id, turn, line, list_filter(list_transform(string_split(t, ' '), lambda x: lower(regexp_replace(x, '[^\\p{L}\\p{N}]+', '', 'g'))), lambda x: x <> '') AS w FROM c),
+g AS (SELECT conv_id, turn, line, w, unnest(range(1, len(w) + 1)) AS pos FROM w), p AS (SELECT conv_id, turn, line, pos, n, array_to_string(w[pos:pos + n - 1], ' ') AS phrase FROM g, (SELECT unnest([1, 2, 3]) AS n) WHERE pos + n - 1 <= len(w)),
+d AS (SELECT phrase, term, field FROM (SELECT DISTINCT phrase FROM p) JOIN k ON phrase = term OR length(term) >= 5 AND abs(length(phrase) - length(term)) <= 1 AND levenshtein(phrase, term) <= 1),
+h AS (SELECT conv_id, turn, line, pos, n, field FROM p JOIN d USING (phrase)), o AS (SELECT a.* FROM h a WHERE NOT EXISTS (SELECT 1 FROM h b WHERE b.conv_id = a.conv_id AND b.turn = a.turn AND b.line = a.line AND b.n > a.n AND b.pos < a.pos + a.n AND a.pos < b.pos + b.n))
+SELECT conv_id, turn, field, count(DISTINCT (line, pos)) AS hits FROM o GROUP BY ALL""")
+def kv_key_phrases(spark, sf):
+    """Keys of one to three words in texts as they come, with one letter wrong at most; a longer key takes the words of shorter ones."""
+    c = table(spark, sf, "conversations").select(F.struct("conv_id", "turn").alias("page_id"), F.coalesce("text", F.lit("")).alias("text"))
+    got = K.phrase_hits(K.word_boxes(c), spark.createDataFrame(_PHRASES, "term string, field string"), most=3)
+    return got.groupBy("page_id", "field").agg(F.count_distinct("line", "place").alias("hits")).select("page_id.conv_id", "page_id.turn", "field", "hits")
+
+
 @query("kv_trust", f"{_SHEET} SELECT page_id, count(*) * 6 AS hits, count(*) * 6 AS trusted FROM s GROUP BY page_id")
 def kv_trust(spark, sf):
     return K.trusted(_hits(spark, sf)).groupBy("page_id").agg(F.count("*").alias("hits"), F.count_if("trusted").alias("trusted"))
@@ -91,7 +109,7 @@ def join_find_words_box(spark, sf):
     return got.groupBy("page_id").agg(F.count("*").alias("words"))
 
 
-@query("kv_page_no", f"{_SHEET} SELECT page_id, page_no::INT AS num, 9 AS total FROM s")
+@query("kv_page_no", f"{_SHEET} SELECT page_id, page_no::INT AS num, 99 AS total FROM s")
 def kv_page_no(spark, sf):
     n, m = S.marker(F.split_part("text", F.lit("\n"), F.lit(1)))
     return _sheets(spark, sf).select("page_id", n.alias("num"), m.alias("total"))
@@ -104,13 +122,13 @@ def kv_heading(spark, sf):
     return _sheets(spark, sf).select("page_id", F.size(lines).cast("long").alias("headings"))
 
 
+_PATTERNS = {"name": r"^[A-Z][a-z]+\d*$", "dob": r"^\d+/\d+/\d{4}$", "id": r"^[A-Z]\d+$"}
+
+
 def _all(spark, sf):
-    w = _words(spark, sf)
-    parts = [K.nearest_value(w, _hits(spark, sf, f), p) for f, p in (("name", r"^[A-Z][a-z]+\d*$"), ("dob", r"^\d+/\d+/\d{4}$"), ("id", r"^[A-Z]\d+$"))]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """All fields in one search: the pattern of a value is a column of the key catalogue."""
+    keys = spark.createDataFrame([(t, f, _PATTERNS[f]) for t, f in _KEYS if f in _PATTERNS], "term string, field string, pattern string")
+    return K.nearest_values(_words(spark, sf), keys)
 
 
 _ALL = f"{_SHEET}, a AS (SELECT page_id, 'name' AS field, 'Ana' || doc_hint AS value FROM s UNION ALL SELECT page_id, 'dob', strftime(dos, '%m/%d/%Y') FROM s UNION ALL SELECT page_id, 'id', 'A' || part FROM s)"
@@ -133,9 +151,8 @@ def kv_review_view(spark, sf):
 
 @query("kv_staging_access", f"{_O} SELECT chart, count(*) FILTER (WHERE confidence >= 0.5) AS accepted, arg_max(page_no, (confidence, -page_no)) AS best FROM pages_o GROUP BY chart")
 def kv_staging_access(spark, sf):
-    """Accepted candidates and the best one of an array."""
-    g = order_pages(spark, sf).groupBy("chart").agg(F.collect_list(F.struct("confidence", (-F.col("page_no")).alias("neg"), "page_no")).alias("c"))
-    return g.select("chart", F.size(F.filter("c", lambda x: x["confidence"] >= 0.5)).cast("long").alias("accepted"), F.array_max("c")["page_no"].alias("best"))
+    """Accepted candidates of a chart and the best one."""
+    return order_pages(spark, sf).groupBy("chart").agg(F.count_if(F.col("confidence") >= 0.5).alias("accepted"), F.max_by("page_no", F.struct("confidence", -F.col("page_no"))).alias("best"))
 
 
 @query("kv_candidate_features", f"{_O} SELECT chart, page_no, rank() OVER (PARTITION BY chart ORDER BY confidence DESC) AS place, round(confidence - max(confidence) OVER (PARTITION BY chart), 6) AS gap, count(*) OVER (PARTITION BY chart, dos) AS rivals FROM pages_o")
@@ -232,8 +249,7 @@ def con_evidence(spark, sf):
 
 @query("con_staged_inputs", f"{_O} SELECT chart, max(CASE WHEN kind = 'main' THEN confidence END) AS trust, bool_or(tax > 0.06) AS signed FROM pages_o GROUP BY chart")
 def con_staged_inputs(spark, sf):
-    g = order_pages(spark, sf).groupBy("chart").agg(F.collect_list(F.struct("kind", "confidence", "tax")).alias("c"))
-    return g.select("chart", F.array_max(F.transform(F.filter("c", lambda x: x["kind"] == "main"), lambda x: x["confidence"])).alias("trust"), F.exists("c", lambda x: x["tax"] > 0.06).alias("signed"))
+    return order_pages(spark, sf).groupBy("chart").agg(F.max(F.when(F.col("kind") == "main", F.col("confidence"))).alias("trust"), F.max(F.col("tax") > 0.06).alias("signed"))
 
 
 #: Sequencing.
@@ -297,11 +313,25 @@ def seq_cover_blank(spark, sf):
     return pages(spark, sf).select("page_id", ((F.col("page_no") <= 3) & (F.col("n_chars") < 400)).alias("cover"), (F.length(F.trim(F.coalesce("text", F.lit("")))) < 20).alias("near_blank"))
 
 
-@query("join_union_find_headers", f"WITH {PAGES}, h AS (SELECT chart, page_id, lower(trim(split_part(text, chr(10), 1))) AS h FROM pages_a WHERE trim(split_part(text, chr(10), 1)) <> '') SELECT page_id, min(page_id) OVER (PARTITION BY chart, h) AS cluster FROM h")
+@query("join_union_find_headers", f"""WITH RECURSIVE {PAGES}, l AS (SELECT chart, page_id, unnest([{{'side': 'h', 'line': split_part(coalesce(text, ''), chr(10), 1)}}, {{'side': 'f', 'line': string_split(coalesce(text, ''), chr(10))[-1]}}]) AS x FROM pages_a),
+h AS (SELECT chart, page_id, x.side AS side, list_distinct(regexp_extract_all(lower(x.line), '{S.WORD}')) AS w FROM l), k AS (SELECT chart, page_id, side, w, unnest(w) AS t FROM h),
+p AS (SELECT a.page_id AS a, b.page_id AS b, a.side, count(*) AS sh, any_value(len(a.w) + len(b.w)) AS n FROM k a JOIN k b ON a.chart = b.chart AND a.side = b.side AND a.t = b.t AND a.page_id <> b.page_id GROUP BY a.page_id, b.page_id, a.side),
+e AS (SELECT DISTINCT a, b FROM p WHERE 10 * sh > 7 * (n - sh)), r AS (SELECT DISTINCT page_id AS node, page_id AS seen FROM k UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a) SELECT node AS page_id, min(seen) AS cluster FROM r GROUP BY node""")
 def join_union_find_headers(spark, sf):
-    """Pages of a chart with the same header in one cluster, named by its least page; the least by aggregation and a join."""
-    h = pages(spark, sf).select("chart", "page_id", F.lower(F.trim(F.split_part("text", F.lit("\n"), F.lit(1)))).alias("h")).where("h <> ''")
-    return h.join(h.groupBy("chart", "h").agg(F.min("page_id").alias("cluster")), ["chart", "h"]).select("page_id", "cluster")
+    """Pages of a chart whose first or last lines' words have a Jaccard similarity over 0.7, through any chain of such pages, in one cluster named
+    by its least page. Equal lines are one set, and candidates come from an index of words: of a set's words (in the order of their
+    hashes) only so many need be looked up that two similar sets must share one."""
+    lines = F.split(F.coalesce("text", F.lit("")), "\n")
+    sides = F.array(*(F.struct(F.lit(n).alias("side"), F.array_sort(F.transform(S.unique_words(x), lambda z: F.xxhash64(z))).alias("w")) for n, x in (("h", F.get(lines, F.lit(0))), ("f", F.element_at(lines, -1)))))
+    h = pages(spark, sf).select("chart", "page_id", F.explode(sides).alias("x")).select("chart", "page_id", "x.side", "x.w").where(F.size("w") > 0)
+    sets = h.groupBy("chart", "side", "w").agg(F.min("page_id").alias("a"))
+    n, m, both = F.size("w"), F.size("v"), F.size(F.array_intersect("w", "v"))
+    index = sets.withColumn("t", F.explode(F.slice("w", F.lit(1), n - F.ceil(n * 7 / 10).cast("int") + 1)))
+    near = index.join(index.select("chart", "side", "t", F.col("a").alias("b"), F.col("w").alias("v")), ["chart", "side", "t"]).where((F.col("a") < F.col("b")) & (10 * F.least(n, m) > 7 * F.greatest(n, m)))
+    links = near.where(10 * both > 7 * (n + m - both)).select("a", "b")
+    alike = h.join(sets, ["chart", "side", "w"]).where(F.col("page_id") != F.col("a")).select("a", F.col("page_id").alias("b"))
+    root = components(links.union(alike).distinct())
+    return h.select("page_id").distinct().join(root.withColumnRenamed("node", "page_id"), "page_id", "left").select("page_id", F.coalesce("root", "page_id").alias("cluster"))
 
 
 #: Splits and learning.
@@ -334,22 +364,22 @@ def ml_stratified_group_split(spark, sf):
     return d.join(spark.createDataFrame(pd.DataFrame(sorted(side.items()), columns=["source", "split"])), "source").groupBy("source", "split").agg(F.count("*").alias("n"))
 
 
-@query("ml_crossval", "WITH s AS (SELECT source, avg(toxic) AS own, count(*) AS n, sum(toxic)::DOUBLE AS t FROM documents JOIN labels USING (doc_id) GROUP BY source) SELECT source, round((sum(t) OVER () - t) / (sum(n) OVER () - n), 6) AS rate_without FROM s")
+@query("ml_crossval", "WITH d AS (SELECT source, lang, toxic FROM documents JOIN labels USING (doc_id)), s AS (SELECT source, lang, count(*) AS n, sum(toxic) AS t FROM d GROUP BY ALL), o AS (SELECT *, sum(n) OVER (PARTITION BY lang) - n AS n_, sum(t) OVER (PARTITION BY lang) - t AS t_ FROM s) SELECT source, sum(n)::BIGINT AS n, round(sum(t * pow(1 - (t_ + 1) / (n_ + 2)::DOUBLE, 2) + (n - t) * pow((t_ + 1) / (n_ + 2)::DOUBLE, 2)) / sum(n), 6) AS brier FROM o GROUP BY source")
 def ml_crossval(spark, sf):
-    """Leave one group out: what is fitted without it, from sums instead of a loop."""
-    d = table(spark, sf, "documents").select("doc_id", "source").join(table(spark, sf, "labels"), "doc_id")
-    s = d.groupBy("source").agg(F.count("*").alias("n"), F.sum("toxic").cast("double").alias("t"))
-    return _leave_out(s)
-
-
-def _leave_out(s):
-    total = s.select(F.col("n").alias("n_"), F.col("t").alias("t_")).agg(F.sum("n_").alias("sum_n"), F.sum("t_").alias("sum_t"))
-    return s.crossJoin(total).select("source", F.round((F.col("sum_t") - F.col("t")) / (F.col("sum_n") - F.col("n")), 6).alias("rate_without"))
+    """Leave one source out: a toxic rate a language, smoothed, is fitted to the other sources and its squared error measured on the one
+    left out. What all have less what the source has is the fit without it, so that there is no loop over sources."""
+    d = table(spark, sf, "documents").select("doc_id", "source", "lang").join(table(spark, sf, "labels").select("doc_id", "toxic"), "doc_id")
+    s = d.groupBy("source", "lang").agg(F.count("*").alias("n"), F.sum("toxic").alias("t"))
+    every = s.groupBy(F.col("lang").alias("l")).agg(F.sum("n").alias("all_n"), F.sum("t").alias("all_t"))
+    o = s.join(every, F.col("lang").eqNullSafe(F.col("l"))).withColumn("p", (F.col("all_t") - F.col("t") + 1) / (F.col("all_n") - F.col("n") + 2).cast("double"))
+    error = F.col("t") * F.pow(1 - F.col("p"), 2) + (F.col("n") - F.col("t")) * F.pow("p", F.lit(2))
+    return o.groupBy("source").agg(F.sum("n").alias("n"), F.round(F.sum(error) / F.sum("n"), 6).alias("brier"))
 
 
 @query("ml_tfidf_lr")
 def ml_tfidf_lr(spark, sf):
-    """Hashed term frequencies with inverse document frequency, and a class-weighted logistic regression, as a Spark ML pipeline."""
+    """Hashed term frequencies with inverse document frequency, and a class-weighted logistic regression, as a Spark ML pipeline: fitted to
+    four documents of five by a hash of their ids, asked for the fifth."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
@@ -358,5 +388,6 @@ def ml_tfidf_lr(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(table(spark, sf, "labels").select("doc_id", F.col("toxic").cast("double").alias("label")), "doc_id")
     d = d.withColumn("w", F.when(F.col("label") == 1, 5.0).otherwise(1.0))
     steps = [RegexTokenizer(inputCol="text", outputCol="t", pattern=r"[^\p{L}\p{N}_]+"), HashingTF(inputCol="t", outputCol="tf", numFeatures=1 << 14), IDF(inputCol="tf", outputCol="x"), LogisticRegression(featuresCol="x", weightCol="w", regParam=0.05, maxIter=15)]
-    out = Pipeline(stages=steps).fit(d).transform(d)
+    held = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
+    out = Pipeline(stages=steps).fit(d.where(~held)).transform(d.where(held))
     return out.select("doc_id", "label", F.round(vector_to_array("probability")[1], 6).alias("score"))

@@ -87,13 +87,13 @@ def filter_extra_manifest_files(spark, sf):
     return table(spark, sf, "documents").where(~name.rlike("(?i)^metadata_extra")).select("doc_id")
 
 
-@query("filter_canon_term_filter", "WITH v AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) AS w FROM benchmark), t AS (SELECT DISTINCT unnest(regexp_extract_all(lower(substr(text, 1, 200)), '[\\p{L}\\p{N}_]+')) AS w FROM documents) SELECT w FROM t WHERE w IN (SELECT w FROM v)")
+@query("filter_canon_term_filter", "WITH v AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) AS w FROM benchmark), t AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) AS w FROM documents) SELECT w FROM t WHERE w IN (SELECT w FROM v)")
 def filter_canon_term_filter(spark, sf):
     """Terms that the generic vocabulary has."""
     from folioframe.functions.strings import unique_words
 
     v = table(spark, sf, "benchmark").select(F.explode(unique_words(F.col("text"))).alias("w")).distinct()
-    t = table(spark, sf, "documents").select(F.explode(unique_words(F.substring("text", 1, 200))).alias("w")).distinct()
+    t = table(spark, sf, "documents").select(F.explode(unique_words(F.col("text"))).alias("w")).distinct()
     return t.join(v, "w", "left_semi")
 
 

@@ -335,19 +335,19 @@ def pt_vote_eval(spark, sf):
     return one.select(F.explode(F.array(*(F.struct(F.lit(b).alias("bar"), F.round(f"b{i}", 6).alias("accuracy")) for i, b in enumerate(grid)))).alias("x")).select("x.*")
 
 
-_TF = f"WITH t AS (SELECT doc_id, w AS term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(lower(substr(coalesce(text, ''), 1, 2000)), '{S.WORD}')) AS w FROM documents) GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM t GROUP BY term), w AS (SELECT doc_id, term, (1 + ln(tf)) * (ln((1 + (SELECT count(*) FROM documents)) / (1 + df)::DOUBLE) + 1) AS w FROM t JOIN df USING (term)), l AS (SELECT doc_id, sqrt(sum(w * w)) AS l2 FROM w GROUP BY doc_id), x AS (SELECT doc_id, term, w / l2 AS weight FROM w JOIN l USING (doc_id))"
+_TF = f"WITH t AS (SELECT doc_id, w AS term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '{S.WORD}')) AS w FROM documents) GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM t GROUP BY term), w AS (SELECT doc_id, term, (1 + ln(tf)) * (ln((1 + (SELECT count(*) FROM documents)) / (1 + df)::DOUBLE) + 1) AS w FROM t JOIN df USING (term)), l AS (SELECT doc_id, sqrt(sum(w * w)) AS l2 FROM w GROUP BY doc_id), x AS (SELECT doc_id, term, w / l2 AS weight FROM w JOIN l USING (doc_id))"
 
 
 @query("agg_tfidf_corpus", _TF + " SELECT doc_id, count(*) AS terms, round(max(weight), 5) AS top FROM x GROUP BY doc_id")
 def agg_tfidf_corpus(spark, sf):
-    d = table(spark, sf, "documents").withColumn("text", F.substring("text", 1, 2000))
+    d = table(spark, sf, "documents")
     return R.tfidf(d, "doc_id", S.words(F.col("text"))).groupBy("doc_id").agg(F.count("*").alias("terms"), F.round(F.max("weight"), 5).alias("top"))
 
 
 @query("str_tfidf_cosine", _TF + ", n AS (SELECT doc_id, lead(doc_id) OVER (ORDER BY doc_id) AS other FROM (SELECT DISTINCT doc_id FROM documents) WHERE doc_id % 2 = 0 OR true) SELECT n.doc_id, n.other, round(coalesce(sum(a.weight * b.weight), 0), 4) AS cosine FROM n LEFT JOIN x a ON a.doc_id = n.doc_id LEFT JOIN x b ON b.doc_id = n.other AND b.term = a.term WHERE other = n.doc_id + 1 GROUP BY ALL")
 def str_tfidf_cosine(spark, sf):
     """Cosine of each document with that of the next id: both sides of a pair meet by pair and term, and one sum makes the product."""
-    d = table(spark, sf, "documents").withColumn("text", F.substring("text", 1, 2000))
+    d = table(spark, sf, "documents")
     x = R.tfidf(d, "doc_id", S.words(F.col("text")))
     ids = d.select("doc_id").distinct()
     pairs = ids.join(ids.select((F.col("doc_id") - 1).alias("doc_id")), "doc_id", "left_semi").select("doc_id", (F.col("doc_id") + 1).alias("other"))
@@ -440,11 +440,13 @@ def acc_bulk_labels(spark, sf):
     return table(spark, sf, "documents").select("doc_id").join(latest, "doc_id")
 
 
-@query("acc_semantic", "WITH c AS (SELECT label, [avg(embedding[1]), avg(embedding[2]), avg(embedding[3]), avg(embedding[4])] AS v FROM embeddings GROUP BY label), p AS (SELECT e.vec_id, c.label, list_sum(list_transform(range(1, 5), lambda i: e.embedding[i] * c.v[i])) / nullif(sqrt(list_sum(list_transform(c.v, lambda x: x * x))) * sqrt(list_sum(list_transform(e.embedding[1:4], lambda x: x::DOUBLE * x))), 0) AS s FROM embeddings e CROSS JOIN c) SELECT vec_id, round(max(s), 4) AS best FROM p GROUP BY vec_id")
+@query("acc_semantic", "WITH e AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings), c AS (SELECT label, i, avg(x) AS m FROM e GROUP BY ALL), p AS (SELECT e.vec_id, c.label, sum(e.x * c.m) / nullif(sqrt(sum(c.m * c.m)) * sqrt(sum(e.x * e.x)), 0) AS s FROM e JOIN c ON e.i = c.i GROUP BY ALL) SELECT vec_id, round(max(s), 4) AS best FROM p GROUP BY vec_id")
 def acc_semantic(spark, sf):
-    """The best cosine between a vector and the labels' mean vectors; the means are one row a label and go into one array."""
-    e = table(spark, sf, "embeddings").select("vec_id", "label", F.transform(F.slice("embedding", 1, 4), lambda x: x.cast("double")).alias("v"))
-    means = e.groupBy("label").agg(F.array(*(F.avg(F.get("v", F.lit(i))) for i in range(4))).alias("m")).agg(F.collect_list("m").alias("ms"))
+    """The best cosine between a vector and the labels' mean vectors. Labels are a fixed set; their means are one row each, of the vector's
+    whole length, summed by place before they meet."""
+    e = table(spark, sf, "embeddings").select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    places = e.select("label", F.posexplode("v").alias("i", "x")).groupBy("label", "i").agg(F.avg("x").alias("m"))
+    means = places.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda z: z["m"]).alias("m")).agg(F.collect_list("m").alias("ms"))
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     best = F.array_max(F.transform("ms", lambda m: dot(F.col("v"), m) / (F.sqrt(dot(m, m)) * F.sqrt(dot(F.col("v"), F.col("v"))))))
     return e.crossJoin(means).select("vec_id", F.round(best, 4).alias("best"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folioframe.functions import strings as S
-from folioframe.plans.base import PAGES, pages, query, table
+from folioframe.plans.base import PAGES, pages, query, table, with_previous
 
 _W = S.WS
 _WORDS = f"regexp_extract_all(lower(coalesce(text, '')), '{S.WORD}')"
@@ -21,7 +21,7 @@ _each("str_unique_words", f"len(list_distinct({_WORDS}))::BIGINT AS n, md5(array
 _each("str_clean_text", f"md5(lower(trim(regexp_replace(coalesce(text, ''), '{_W}', ' ', 'g')))) AS clean", lambda t: [F.md5(S.clean_text(t).cast("binary")).alias("clean")])
 _each("str_word_counts", f"len({_WORDS})::BIGINT AS n_words", lambda t: [S.word_count(t).alias("n_words")])
 _each("str_header_key", "lower(regexp_replace(source || ' _ ' || lang, '[\\s_]+', '', 'g')) AS key", lambda t: [S.header_key(F.concat("source", F.lit(" _ "), "lang")).alias("key")])
-_each("str_name_key", "array_to_string(list_sort(regexp_extract_all(lower(substr(coalesce(text, ''), 1, 40)), '[\\p{L}\\p{N}_]+')), ' ') AS key", lambda t: [S.name_key(F.substring(t, 1, 40)).alias("key")])
+_each("str_name_key", "array_to_string(list_sort(regexp_extract_all(lower(split_part(coalesce(text, ''), chr(10), 1)), '[\\p{L}\\p{N}_]+')), ' ') AS key", lambda t: [S.name_key(F.split_part(F.coalesce(t, F.lit("")), F.lit("\n"), F.lit(1))).alias("key")])
 _each("str_identifier", "regexp_replace(trim(doc_id::VARCHAR || CASE WHEN doc_id % 3 = 0 THEN '.0' WHEN doc_id % 3 = 1 THEN '.50' ELSE '' END), '^([+-]?\\d+)\\.0+$', '\\1') AS id", lambda t: [S.identifier(F.concat(F.col("doc_id").cast("string"), F.when(F.col("doc_id") % 3 == 0, ".0").when(F.col("doc_id") % 3 == 1, ".50").otherwise(""))).alias("id")])
 _each("str_page_id_stem", "try_cast(nullif(regexp_extract(doc_id::VARCHAR || CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN '.jpg' WHEN 2 THEN '.0' ELSE 'x' END, '^(\\d{1,9})(\\.[^.]*)?$', 1), '') AS INT) AS page_no", lambda t: [S.page_id_stem(F.concat(F.col("doc_id").cast("string"), F.when(F.col("doc_id") % 4 == 0, "").when(F.col("doc_id") % 4 == 1, ".jpg").when(F.col("doc_id") % 4 == 2, ".0").otherwise("x"))).alias("page_no")])
 _each("str_masked_line", "regexp_replace(regexp_replace(regexp_replace(lower(trim(split_part(text, chr(10), 1) || ' 2024-01-02 n 17')), '\\d{1,4}[/.-]\\d{1,2}[/.-]\\d{1,4}', '<date>', 'g'), '\\d', '#', 'g'), '" + _W + "', ' ', 'g') AS line", lambda t: [S.masked_line(F.concat(F.split_part(t, F.lit("\n"), F.lit(1)), F.lit(" 2024-01-02 n 17"))).alias("line")])
@@ -38,7 +38,7 @@ _each("str_ngrams", f"len(w)::BIGINT AS n_words, greatest(len(w) - 1, 0)::BIGINT
 from folioframe.plans.base import SQL  # noqa: E402
 
 SQL["str_ngrams"] = SQL["str_ngrams"].rsplit(" FROM documents", 1)[0]
-_each("str_char_ngrams", "n_grams FROM (SELECT doc_id, list_sum(list_transform(regexp_extract_all(lower(substr(coalesce(text, ''), 1, 300)), '[\\p{L}\\p{N}_]+'), lambda w: greatest(length(w), 0) + greatest(length(w) - 1, 0) + greatest(length(w) - 2, 0)))::BIGINT AS n_grams FROM documents) documents", lambda t: [F.nullif(F.size(S.char_grams(F.substring(t, 1, 300))), F.lit(0)).cast("long").alias("n_grams")])
+_each("str_char_ngrams", "n_grams FROM (SELECT doc_id, list_sum(list_transform(regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}_]+'), lambda w: greatest(length(w), 0) + greatest(length(w) - 1, 0) + greatest(length(w) - 2, 0)))::BIGINT AS n_grams FROM documents) documents", lambda t: [F.nullif(F.size(S.char_grams(t)), F.lit(0)).cast("long").alias("n_grams")])
 SQL["str_char_ngrams"] = SQL["str_char_ngrams"].rsplit(" FROM documents", 1)[0]
 _each("str_ocr_features", f"length(coalesce(text, ''))::BIGINT AS n_chars, len({_WORDS})::BIGINT AS n_words, len(list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x) <> ''))::BIGINT AS n_lines, round(coalesce(len(list_distinct({_WORDS}))::DOUBLE / nullif(len({_WORDS}), 0), 0), 6) AS distinct_share, round(coalesce(len(regexp_extract_all(text, '[0-9]'))::DOUBLE / nullif(length(text), 0), 0), 6) AS digit_share, round(coalesce(len(regexp_extract_all(text, '\\p{{Lu}}'))::DOUBLE / nullif(length(text), 0), 0), 6) AS upper_share, round(coalesce(len(regexp_extract_all(text, '[^\\p{{L}}\\p{{N}}\\s]'))::DOUBLE / nullif(length(text), 0), 0), 6) AS mark_share, len(regexp_extract_all(text, ':'))::BIGINT AS n_colons", lambda t: [(F.round(c, 6) if n.endswith("share") else c).alias(n) for n, c in S.ocr_features(t).items()])
 _each("str_one_edit_tokens", "doc_id % 4 <> 3 AS alike", lambda t: [S.one_edit_tokens(F.lit("progress note"), F.element_at(F.array(*map(F.lit, ("Progress Notes", "progres note", "Progress note", "process not"))), (F.col("doc_id") % 4 + 1).cast("int"))).alias("alike")])
@@ -48,10 +48,7 @@ _each("str_same_type_map", "CASE lang WHEN 'en' THEN 'note' WHEN 'de' THEN 'lab'
 
 def _neighbors(spark, sf):
     """Each page beside the one before it in its chart."""
-    from pyspark.sql import Window
-
-    p = pages(spark, sf)
-    return p.withColumn("prev", F.lag("text").over(Window.partitionBy("chart").orderBy("page_no"))).where("prev is not null")
+    return with_previous(pages(spark, sf))
 
 
 _PAIR = f"WITH {PAGES}, n AS (SELECT *, lag(text) OVER (PARTITION BY chart ORDER BY page_no) AS prev FROM pages_a), p AS (SELECT *, list_distinct(regexp_extract_all(lower(text), '{S.WORD}')) AS a, list_distinct(regexp_extract_all(lower(prev), '{S.WORD}')) AS b FROM n WHERE prev IS NOT NULL), s AS (SELECT *, len(list_intersect(a, b)) AS sh FROM p) "
@@ -77,9 +74,9 @@ def str_bag_dice(spark, sf):
     return per.groupBy("page_id").agg(F.round(2.0 * F.sum(F.least("ka", "kb")) / F.sum(F.col("ka") + F.col("kb")), 4).alias("dice"))
 
 
-@query("str_edit_distance", f"WITH {PAGES}, n AS (SELECT *, lag(text) OVER (PARTITION BY chart ORDER BY page_no) AS prev FROM pages_a) SELECT page_id, least(levenshtein(regexp_replace(substr(text, 1, 20), '[^ -~]', '?', 'g'), regexp_replace(substr(prev, 1, 20), '[^ -~]', '?', 'g')), 16)::BIGINT AS distance FROM n WHERE prev IS NOT NULL")
+@query("str_edit_distance", f"WITH {PAGES}, n AS (SELECT *, lag(text) OVER (PARTITION BY chart ORDER BY page_no) AS prev FROM pages_a) SELECT page_id, least(levenshtein(regexp_replace(split_part(text, chr(10), 1), '[^ -~]', '?', 'g'), regexp_replace(split_part(prev, chr(10), 1), '[^ -~]', '?', 'g')), 16)::BIGINT AS distance FROM n WHERE prev IS NOT NULL")
 def str_edit_distance(spark, sf):
-    return _neighbors(spark, sf).select("page_id", S.edit_distance(*(F.regexp_replace(F.substring(c, 1, 20), "[^ -~]", "?") for c in ("text", "prev")), 15).cast("long").alias("distance"))
+    return _neighbors(spark, sf).select("page_id", S.edit_distance(*(F.regexp_replace(F.split_part(c, F.lit("\n"), F.lit(1)), "[^ -~]", "?") for c in ("text", "prev")), 15).cast("long").alias("distance"))
 
 
 @query("str_furniture", f"WITH {PAGES}, n AS (SELECT *, lag(text) OVER (PARTITION BY chart ORDER BY page_no) AS prev FROM pages_a), l AS (SELECT page_id, list_distinct(list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(lower(trim(x)), '\\d', '#', 'g')), lambda x: length(x) >= 5)) AS a, list_distinct(list_filter(list_transform(string_split(prev, chr(10)), lambda x: regexp_replace(lower(trim(x)), '\\d', '#', 'g')), lambda x: length(x) >= 5)) AS b FROM n WHERE prev IS NOT NULL) SELECT page_id, len(list_intersect(a, b))::BIGINT AS lines FROM l")

@@ -8,17 +8,15 @@ import uuid
 from pyspark.sql import functions as F
 
 from folioframe.functions import models as M
-from folioframe.operators.shared import ensure_checkpoint_dir
-from folioframe.plans.base import ORDER_PAGES, PAGES, order_pages, pages, query, table
+from folioframe.operators.shared import shared_folder
+from folioframe.plans.base import ORDER_PAGES, PAGES, order_pages, pages, query, table, with_previous
 from folioframe.sources import files, sinks
 from folioframe.streaming import incremental as I
 
 
 def _scratch(spark) -> str:
     """A new folder among those that driver and executors share."""
-    ensure_checkpoint_dir(spark)
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp()
-    return f"{base.rstrip('/')}/folioframe-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/folioframe-{uuid.uuid4().hex}"
 
 
 @query("udf_ocr_prelim", "SELECT page_id, md5(coalesce(html, '')) AS text FROM pages")
@@ -42,9 +40,7 @@ for _n in ("udf_axes_model", "udf_encounter_model"):
 
 @query("udf_cross_encoder")
 def udf_cross_encoder(spark, sf):
-    from pyspark.sql import Window
-
-    p = pages(spark, sf).withColumn("prev", F.lag("text").over(Window.partitionBy("chart").orderBy("page_no"))).where("prev is not null")
+    p = with_previous(pages(spark, sf))
     return p.select("page_id", M.pair_scorer()("prev", "text").alias("score"))
 
 
@@ -67,16 +63,19 @@ for _n in ("udf_rotation", "udf_osd", "udf_layout_headings"):
     query(_n, "SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS size FROM pages")(bj_blank_image)
 
 
-@query("udf_ner", "SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '\\b[A-Z][a-z]+ [A-Z][a-z]+\\b'))::BIGINT AS entities FROM documents WHERE regexp_matches(coalesce(text, ''), '^[ -~\\n]*$')")
+@query("udf_ner", "SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[A-Z][a-z]+ [A-Z][a-z]+'))::BIGINT AS entities FROM documents")
 def udf_ner(spark, sf):
     """Pairs of capitalised words stand in for a tagger's persons."""
-    d = table(spark, sf, "documents").where(F.coalesce("text", F.lit("")).rlike(r"^[ -~\n]*$"))
-    return d.select("doc_id", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"\b[A-Z][a-z]+ [A-Z][a-z]+\b")).cast("long").alias("entities"))
+    return table(spark, sf, "documents").select("doc_id", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[A-Z][a-z]+ [A-Z][a-z]+")).cast("long").alias("entities"))
 
 
-@query("udf_minilm", "SELECT vec_id, label FROM embeddings")
+@query("udf_minilm", "WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) SELECT a.vec_id, round(sum(a.x * b.x) / nullif(sqrt(sum(a.x * a.x)) * sqrt(sum(b.x * b.x)), 0), 4) AS cosine FROM e a JOIN e b ON b.vec_id = a.vec_id + 1 AND a.i = b.i GROUP BY a.vec_id")
 def udf_minilm(spark, sf):
-    return table(spark, sf, "embeddings").select("vec_id", "label")
+    """Cosine of each sentence vector with the next one's; the vectors stand for an encoder's answers."""
+    e = table(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    j = e.join(e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("v").alias("u")), "vec_id")
+    return j.select("vec_id", F.round(F.try_divide(dot("v", "u"), F.sqrt(dot("v", "v")) * F.sqrt(dot("u", "u"))), 4).alias("cosine"))
 
 
 @query("str_unicode_normalize")
@@ -86,9 +85,7 @@ def str_unicode_normalize(spark, sf):
 
 @query("str_sequence_ratio")
 def str_sequence_ratio(spark, sf):
-    from pyspark.sql import Window
-
-    p = pages(spark, sf).withColumn("prev", F.lag("text").over(Window.partitionBy("chart").orderBy("page_no"))).where("prev is not null")
+    p = with_previous(pages(spark, sf))
     return p.select("page_id", M.sequence_ratio(F.split_part("prev", F.lit("\n"), F.lit(1)), F.split_part("text", F.lit("\n"), F.lit(1))).alias("ratio"))
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from folioframe.functions import dates, models, numbers, strings
 from folioframe.operators import duplicates as D
-from folioframe.operators import folds, keyvalues, listing, merge, rules, sequence, stages
+from folioframe.operators import folds, keyvalues, listing, merge, rules, sequence, shared, stages
+from folioframe.plans import base
 from folioframe.sources import files, sinks
 from folioframe.streaming import incremental as I
 
@@ -78,12 +79,42 @@ def test_dates_and_confidence(spark):
     one = lambda c: spark.range(1).select(c.alias("x")).first().x
     d = lambda t: one(dates.parse_any(F.lit(t)).cast("string"))
     assert d("02/30/2024") is None and d("3/5/49") == "2049-03-05" and d("3/5/50") == "1950-03-05"
+    # the first date of a text counts, whatever its shape, and an impossible first one gives none
+    assert d("seen 05/20/2025, printed 2024-01-02") == "2025-05-20" and d("printed 2024-01-02, seen 05/20/2025") == "2024-01-02"
+    assert d("on 02/30/2024 and 03/01/2024") is None and d("May 5, 2021 then 1/2/2020") == "2021-05-05"
+    assert d("05 / 20 / 2025") == "2025-05-20" and d("26.Nov.1953") == "1953-11-26" and d("28/Feb/2024") == "2024-02-28"
+    assert d("2024-01/02") is None and d("05-20/2025") is None and d("marching 4, 2021") is None and d("12024-01-02") is None
+    c = lambda t: one(dates.canonical(F.lit(t)))
+    assert c("20240102") == c("2024-01-02T10:30:00") == c("1/2/24") == c("2-Jan-24") == c("Jan 2, 2024") == "2024-01-02" and c(" Soon ") == "soon"
+    ends = lambda t: one(dates.range_end(F.lit(t)).cast("string"))
+    assert ends("1/2/2024 - 1/5/2024") == ends("1/2/2024 to 1/5/2024") == ends("from Jan 2, 2024 through 2024-01-05") == "2024-01-05"
+    assert ends("1/5/2024 - 1/2/2024") is None and ends("1/2/2024 and 1/5/2024") is None
     assert d("seen March 4th, 2021 here") == "2021-03-04" and d("4 Mar 2021") == "2021-03-04" and d("nothing") is None
     assert one(numbers.backed(F.lit(0.5), F.lit(1.0))) == 0.75
     assert one(numbers.score(F.lit(0.9), F.array(F.lit("conflict"), F.lit("conflict")))) == 0.72
     assert one(strings.page_id_stem(F.lit("17.jpg"))) == 17 and one(strings.page_id_stem(F.lit("x"))) is None
 
 
+def test_phrase_hits(spark):
+    pages = spark.createDataFrame([(1, "Date of  Birth: 1/2\nthe dote of birth, of Date"), (2, "datt of sun\n\nDOB dob: dab")], "page_id long, text string")
+    keys = spark.createDataFrame([("date of birth", "dob"), ("dob", "dob"), ("date", "date"), ("birth", "b")], "term string, field string")
+    got = keyvalues.phrase_hits(keyvalues.word_boxes(pages), keys)
+    assert sorted((r.page_id, r.line, r.place, r.n, r.field) for r in got.collect()) == [(1, 0, 1, 3, "dob"), (1, 1, 2, 3, "dob"), (1, 1, 6, 1, "date"), (2, 2, 1, 1, "dob"), (2, 2, 2, 1, "dob")]
+
+
+def test_components_and_pages(spark, tmp_path):
+    links = [(1, 2), (3, 2), (9, 8), (8, 7), (7, 9), (20, 21), (4, 4)]
+    got = {r.node: r.root for r in shared.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert {k: v for k, v in got.items() if k != v} == {2: 1, 3: 1, 8: 7, 9: 7, 21: 20}
+    docs = [(i * 1500, f"t{i}", "en", "s" if i % 3 else None, 2) for i in range(20)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    p = base.pages(spark, str(tmp_path))
+    want = {d: sum(x[3] == s and x[0] <= d for x in docs) for d, _, _, s, _ in docs}
+    assert {r.page_id: r.page_no for r in p.collect()} == want
+    before = {r.page_id: r.prev for r in base.with_previous(p).collect()}
+    assert before[3000] == "t1" and before[4500] == "t0" and len(before) == 18
+
+
 def test_merge_never_writes_null(spark):
     a = spark.createDataFrame([(1, "x", 5), (2, "y", 6)], "k int, a string, b int")
     b = spark.createDataFrame([(1, None, 7), (2, "y", 6), (3, "z", 8)], "k int, a string, b int")
