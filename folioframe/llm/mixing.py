@@ -7,7 +7,7 @@ place on, around the end. No source takes more than twice its words.
 
 A shard is a seeded part of one source of about SHARD_WORDS words, as many as the source needs, so a source that
 holds a third of all rows is many shards and no task grows with it. The driver holds three numbers a shard, which is
-one part in two millions of the text, and one row a source (a source is a kind of origin; a column of ids would be none).
+one part in 250,000 of the text, and one row a source (a source is a kind of origin; a column of ids would be none).
 
 Null texts have no words and are never taken; a null source is a source, the last one. Repeated rows count and are taken each on its own;
 rows without a doc_id are placed by their texts. A very long text is one row of its shard, and its words are cut only where a part of
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from folioframe.llm.common import table, write_table
 
 WEIGHTS, SHARE, MOST, SEED = (5, 2, 1), 1.5, 2, 17
-BLOCK, SHARD_WORDS = 8, 8_000_000
+BLOCK, SHARD_WORDS = 8, 1_000_000
 WORDS = r"[^\x20\x09-\x0D]+"
 
 

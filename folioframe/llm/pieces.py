@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import re
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from folioframe.llm.common import per_text, table, worker_cache
@@ -39,6 +40,9 @@ def load_model(path: str) -> dict:
 
     m = sentencepiece.SentencePieceProcessor(model_file=path)
     ids = range(m.vocab_size())
+    for probe, want in (("a  b ", "▁a▁▁b▁"), ("ﬁ Å\tx", "▁ﬁ▁Å\tx"), ("", "")):  # no normaliser, spaces kept, a space put first
+        if "".join(map(m.id_to_piece, m.encode(probe))).replace("<0x09>", "\t") != want:
+            raise ValueError(f"{path}: its normaliser or its treatment of spaces is not the one that is built here")
     normal = [i for i in ids if not (m.is_byte(i) or m.is_control(i) or m.is_unknown(i) or m.is_unused(i))]
     return {
         "pieces": [m.id_to_piece(i) for i in ids],
@@ -242,13 +246,13 @@ def encode_documents(docs: DataFrame, path: str | None = None, with_ids: bool =
         for t in texts:
             ids = c.encode(t)
             if with_ids:
-                out["ids"].append(ids)
+                out["ids"].append(np.array(ids, np.int32))
             out["n_tokens"].append(len(ids))
             out["ids_sha256"].append(hashlib.sha256(",".join(map(c.digits.__getitem__, ids)).encode()).hexdigest())
             out["decoded_sha256"].append(hashlib.sha256(c.decode(ids).encode()).hexdigest())
         return out
 
-    return per_text(docs, score, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
+    return per_text(docs, score, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids, rows=128)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

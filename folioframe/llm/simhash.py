@@ -9,9 +9,10 @@ one edge a member, to the root of its local group, never pairs; components join
 near_duplicates() links fingerprints of 3-word shingles at two bits. keep_one() is the near-duplicate stage: it links texts whose sets of
 5-word shingles have a Jaccard similarity of 0.8 or more. There a fingerprint within WIDE bits is no more than a candidate (0.8 is about
 10 bits of 64, give or take 3), shards share one of BANDS bands of ROWS min-hashes (a pair at 0.8 shares none with a chance of 3 in a
-million), and each candidate's similarity is computed from the whole texts. Two rounds keep groups of copies from becoming pairs:
-in the first a shard's tree gives one edge a member, in the second it gives each pair within the radius that the links of the
-first have not joined.
+million), and each candidate's similarity is computed from the whole texts. Three rounds keep groups of copies from becoming pairs:
+in the first two a shard's tree gives one edge for each group that it would join (over FIRST bands, then over all). The third takes what
+shares a band and is still apart: there the sets go along to the shard, each pair within the radius is compared in the task, and
+only links come out.
 
 Nulls and texts without words get fingerprint zero and link like any other. Repeated rows and exact
 copies share one fingerprint, so groups of copies collapse before anything is dealt. Rows with a
@@ -38,7 +39,9 @@ SHINGLE, SEED, RADIUS = 3, 42, 2
 PAIRS, CROWDED = ((0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3)), 50_000
 
 #: The near-duplicate stage: words of a shingle, similarity, bits of a candidate, min-hashes.
-WORDS, SIMILARITY, WIDE, ROWS, BANDS = 5, 0.8, 20, 4, 24
+WORDS, SIMILARITY, WIDE, ROWS, BANDS, FIRST = 5, 0.8, 20, 4, 24, 3
+#: Rows of a group in the third round; a larger one is dealt finer, by two bands that its pairs share.
+CLOSE = 500
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _OFFSETS = (np.arange(8) * 256).astype(np.int64)
@@ -242,10 +245,11 @@ def sketches(docs: DataFrame, size: int = WORDS) -> DataFrame:
     return per_text(docs, score, "th long, sid long, fp long, keys array<long>")
 
 
-def tree_pairs(prints: np.ndarray, label: np.ndarray, radius: int, joining: bool) -> list[tuple[int, int]]:
+def tree_pairs(prints: np.ndarray, label: np.ndarray, radius: int, joining: bool, alike=None) -> list[tuple[int, int]]:
     """Pairs (i, j) of different labels whose fingerprints lie within the radius, through a BK-tree of the distinct fingerprints in the order
-    given. A subtree of one label is not entered by queries of that label. joining: all labels differ at first and each pair
-    makes two of them one, so that there are fewer pairs than members; else each pair comes once."""
+    given. A subtree of one label is not entered by queries of that label. joining: each pair makes two labels one, so that there are fewer pairs than
+    labels; else each pair comes once. alike(i, js): which of the pairs are to come; the labels of one that does become one."""
+    label = label.copy()
     _, first, back = np.unique(prints, return_index=True, return_inverse=True)
     place = np.empty(len(first), np.int64)
     order = np.argsort(first, kind="stable")
@@ -256,20 +260,31 @@ def tree_pairs(prints: np.ndarray, label: np.ndarray, radius: int, joining: bool
     values = prints[first]
     out: list[tuple[int, int]] = []
 
-    def pairs(u, v):
-        p, q = np.repeat(members[u], len(members[v])), np.tile(members[v], len(members[u]))
-        new = (label[p] != label[q]) & ((p < q) if u == v else True)
-        out.extend(zip(p[new].tolist(), q[new].tolist()))
+    def pairs(left, right):
+        for i in left:
+            js = right[label[right] != label[i]]
+            if alike and len(js):
+                js = js[alike(i, js)]
+                label[np.isin(label, label[js])] = label[i]
+            out.extend((i, j) for j in js.tolist())
 
     if joining:
-        out += [(int(m[0]), j) for m in members for j in m[1:].tolist()]
-        own = np.arange(len(values))
+        kinds, whole = np.unique(label, return_inverse=True)
+        up = np.arange(len(kinds))
+        for m in members:
+            for j in m[1:].tolist():
+                a, b = up[whole[m[0]]], up[whole[j]]
+                if a != b:
+                    out.append((int(m[0]), j))
+                    up[up == b] = a
+        own = up[whole[first]]
     else:  # a fingerprint with several labels is like none
         mixed = np.array([(label[m] != label[m[0]]).any() for m in members])
         kinds, own = np.unique(label[first], return_inverse=True)
         own[mixed] = len(kinds) + np.arange(int(mixed.sum()))
         for v in np.flatnonzero(mixed).tolist():
-            pairs(v, v)
+            for n, i in enumerate(members[v].tolist()):
+                pairs([i], members[v][n + 1 :])
     tree = BKTree(values)
     nodes, todo = [], [tree.root]
     while todo:  # a subtree is a slice of this order
@@ -292,8 +307,9 @@ def tree_pairs(prints: np.ndarray, label: np.ndarray, radius: int, joining: bool
                 out += [(int(first[pivot]), j) for j in first[near[one]].tolist()]
                 own[np.isin(own, labels)] = own[pivot]
         else:
-            for v in near[near > pivot].tolist():
-                pairs(pivot, v)
+            later = near[near > pivot]
+            if len(later):
+                pairs(members[pivot].tolist(), np.concatenate([members[v] for v in later.tolist()]))
         for c, child in below.items():
             go = at[np.abs(d - c) <= radius]
             inner = own[line[at_of[child[0]] : end[child[0]]]]
@@ -304,17 +320,17 @@ def tree_pairs(prints: np.ndarray, label: np.ndarray, radius: int, joining: bool
     return out
 
 
-def _candidates(joining: bool, radius: int):
-    """Of rows (key, salt, sid, fp, comp, r_sid, r_fp) sorted by key, salt and order: pairs (a, b) of sets. The root is asked in each salt."""
+def _candidates(radius: int):
+    """Of rows (key, salt, sid, fp, comp, r_sid, r_fp, r_comp) sorted by key, salt and order: pairs (a, b) of sets. Each salt has the root."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def pairs(rows):
-        sid, fp, comp, r_sid, r_fp = (np.concatenate(x) for x in zip(*rows))
-        if joining and r_sid[0] not in sid:
-            sid, fp = np.append(r_sid[:1], sid), np.append(r_fp[:1], fp)
+        sid, fp, comp, r_sid, r_fp, r_comp = (np.concatenate(x) for x in zip(*rows))
+        if r_sid[0] not in sid:
+            sid, fp, comp = np.append(r_sid[:1], sid), np.append(r_fp[:1], fp), np.append(r_comp[:1], comp)
         if len(sid) < 2:
             return None
-        got = np.array(tree_pairs(fp.view(np.uint64), comp, radius, joining), np.int64).reshape(-1, 2)
+        got = np.array(tree_pairs(fp.view(np.uint64), comp, radius, True), np.int64).reshape(-1, 2)
         return np.minimum(sid[got[:, 0]], sid[got[:, 1]]), np.maximum(sid[got[:, 0]], sid[got[:, 1]])
 
     def run(batches):
@@ -341,34 +357,99 @@ def _candidates(joining: bool, radius: int):
     return run
 
 
-def _dealt(keyed: DataFrame, joining: bool, radius: int) -> DataFrame:
-    """Candidates (a, b) of keyed (key, sid, fp, comp): groups of a key with one label only are left out before anything is dealt. With joining a
-    crowded group is salted, and its root (the first in a fixed order) goes along with each row; else it was dealt finer before."""
+def _dealt(keyed: DataFrame, radius: int) -> DataFrame:
+    """Candidates (a, b) of keyed (key, sid, fp, comp): groups of a key with one label only are left out before anything is dealt. A crowded
+    group is salted, and its root (the first in a fixed order) goes along with each row."""
     rank = F.xxhash64("sid", F.lit(SEED))
-    found = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min(F.struct(rank.alias("rank"), "sid", "fp")).alias("r")).where("c0 <> c1")
-    found = write_table(found.select("key", "n", F.col("r.sid").alias("r_sid"), F.col("r.fp").alias("r_fp")), "groups")
-    salt = F.pmod("sid", F.ceil(F.col("n") / CROWDED)) if joining else F.lit(0).cast("long")
-    rows = keyed.join(found, "key").select("key", salt.alias("salt"), "sid", "fp", "comp", "r_sid", "r_fp", rank.alias("rank"))
+    found = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min(F.struct(rank.alias("rank"), "sid", "fp", "comp")).alias("r")).where("c0 <> c1")
+    found = write_table(found.select("key", "n", F.col("r.sid").alias("r_sid"), F.col("r.fp").alias("r_fp"), F.col("r.comp").alias("r_comp")), "groups")
+    salt = F.pmod("sid", F.ceil(F.col("n") / CROWDED))
+    rows = keyed.join(found, "key").select("key", salt.alias("salt"), "sid", "fp", "comp", "r_sid", "r_fp", "r_comp", rank.alias("rank"))
     rows = rows.repartition("key", "salt").sortWithinPartitions("key", "salt", "rank").drop("rank")
-    return rows.mapInArrow(_candidates(joining, radius), "a long, b long").distinct()
+    return rows.mapInArrow(_candidates(radius), "a long, b long").distinct()
+
+
+def _apart(keyed: DataFrame) -> DataFrame:
+    """(key, n: its rows) of the groups with two labels or more."""
+    return keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("key", "n")
 
 
 def _finer(keyed: DataFrame, sets: DataFrame) -> DataFrame:
-    """keyed, with the groups that are still crowded dealt by two shared bands instead of one; pairs at the similarity share two almost surely too."""
-    many = write_table(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where((F.col("n") > CROWDED) & (F.col("c0") != F.col("c1"))).select("key"), "crowded")
-    if not many.limit(1).count():
-        return keyed
-    twice = keyed.join(many, "key").join(sets.select("sid", "keys"), "sid").select("key", "sid", "fp", "comp", F.explode("keys").alias("other")).where("other <> key")
-    pair = F.xxhash64(F.least("key", "other"), F.greatest("key", "other"))
-    return keyed.join(many, "key", "left_anti").unionByName(twice.select(pair.alias("key"), "sid", "fp", "comp").distinct())
+    """Rows of keyed whose group has two labels or more. Large groups are dealt by two shared bands instead of one; pairs at the
+    similarity share two almost surely too (5 in 100,000 share just one)."""
+    groups = write_table(_apart(keyed), "groups")
+    small = keyed.join(groups.where(F.col("n") <= CLOSE).select("key"), "key")
+    twice = keyed.join(groups.where(F.col("n") > CLOSE).select("key"), "key").join(sets.select("sid", "keys"), "sid")
+    twice = twice.select("key", "sid", "fp", "comp", F.explode("keys").alias("other")).where("other <> key")
+    twice = twice.select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "sid", "fp", "comp").distinct()
+    return small.unionByName(twice.join(_apart(twice).select("key"), "key"))
+
+
+def _close_links(batches, radius: int, least: float):
+    """Of rows (key, sid, fp, comp, own: the sorted set's bytes) sorted by key and order: links between different labels."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def links(rows):
+        sid, fp, comp = (np.concatenate([r[i] for r in rows]) for i in (1, 2, 3))
+        own = [np.frombuffer(x, np.uint64) for r in rows for x in r[4]]
+        size = np.array([len(x) for x in own])
+
+        def alike(i, js):
+            fit = np.minimum(size[js], size[i]) >= least * np.maximum(size[js], size[i])
+            some = js[fit]
+            if len(some):
+                flat = np.concatenate([own[j] for j in some.tolist()])
+                at = np.minimum(np.searchsorted(own[i], flat), size[i] - 1)
+                both = np.add.reduceat((own[i][at] == flat).astype(np.int64), np.cumsum(size[some]) - size[some])
+                fit[fit] = both >= least * (size[some] + size[i] - both)
+            return fit
+
+        got = np.array(tree_pairs(fp.view(np.uint64), comp, radius, False, alike), np.int64).reshape(-1, 2)
+        return np.minimum(sid[got[:, 0]], sid[got[:, 1]]), np.maximum(sid[got[:, 0]], sid[got[:, 1]])
+
+    now, held = None, []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        key, sid, fp, comp = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
+        for i, j in zip([0, *cuts], [*cuts, b.num_rows]):
+            if key[i] != now:
+                if held:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in links(held)], schema=schema)
+                now, held = key[i], []
+            held.append((key[i:j], sid[i:j], fp[i:j], comp[i:j], b.column(4).slice(i, j - i).to_pylist()))
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in links(held)], schema=schema)
+
+
+def close_links(keyed: DataFrame, sets: DataFrame, docs: DataFrame, size: int, least: float, radius: int) -> DataFrame:
+    """Links (a, b) between what shares a band and has different labels, each pair within the radius compared by its whole sets."""
+    rows = write_table(_finer(keyed, sets), "apart")
+    schema = pa.schema([("sid", pa.int64()), ("own", pa.binary())])
+
+    def pack(batches):
+        for b in sliced(batches, 256):
+            own = [np.unique(shingles(t or "", size)).tobytes() for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own, pa.binary())], schema=schema)
+
+    own = _texts(rows.select("sid").distinct(), sets, docs).select("sid", "text").mapInArrow(pack, "sid long, own binary")
+    dealt = rows.join(own, "sid").select("key", "sid", "fp", "comp", "own", F.xxhash64("sid", F.lit(SEED)).alias("rank")).repartition("key")
+    dealt = dealt.sortWithinPartitions("key", "rank").drop("rank")
+    return dealt.mapInArrow(lambda batches: _close_links(batches, radius, least), "a long, b long").distinct()
+
+
+def _texts(nodes: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """(sid, text) of each set asked for, from the row that stands for it."""
+    reps = nodes.join(sets, "sid").select("sid", F.coalesce("doc_id", F.lit(-1)).alias("_k"), F.col("doc_id").isNull().alias("_n"), F.col("th").alias("_h"))
+    keyed = _keyed(docs).select("_k", "_n", "_h", F.col("_row.text").cast("string").alias("text"))
+    return write_table(keyed.join(reps, ["_k", "_n", "_h"]).select("sid", "text").dropDuplicates(["sid"]), "texts")
 
 
 def similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, least: float) -> DataFrame:
     """The pairs (a, b) whose sets have a Jaccard similarity of least or more, computed from their texts."""
     nodes = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
-    reps = nodes.join(sets, "sid").select("sid", F.coalesce("doc_id", F.lit(-1)).alias("_k"), F.col("doc_id").isNull().alias("_n"), F.col("th").alias("_h"))
-    keyed = _keyed(docs).select("_k", "_n", "_h", F.col("_row.text").cast("string").alias("text"))
-    texts = write_table(keyed.join(reps, ["_k", "_n", "_h"]).select("sid", "text").dropDuplicates(["sid"]), "texts")
+    texts = _texts(nodes, sets, docs)
     both = pairs.join(texts.select(F.col("sid").alias("a"), F.col("text").alias("t")), "a").join(texts.select(F.col("sid").alias("b"), F.col("text").alias("u")), "b")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -398,12 +479,21 @@ def near_groups(docs: DataFrame, size: int = WORDS, least: float = SIMILARITY, r
     marks = write_table(sketches(docs, size), "sketches")
     firsts = marks.groupBy("sid").agg(F.min(F.struct("th", "doc_id", "fp")).alias("x"), F.any_value("keys").alias("keys"))
     sets = write_table(firsts.select("sid", "x.th", "x.doc_id", "x.fp", "keys"), "sets")
-    keyed = sets.select(F.explode("keys").alias("key"), "sid", "fp", F.col("sid").alias("comp"))
-    one = write_table(similar(write_table(_dealt(keyed, True, radius), "pairs"), sets, docs, size, least), "links")
-    comp = write_table(connected_components(one).select(F.col("node").alias("sid"), F.col("root").alias("comp")), "joined")
-    apart = write_table(keyed.drop("comp").join(comp, "sid", "left").withColumn("comp", F.coalesce("comp", "sid")), "apart")
-    two = similar(write_table(_dealt(_finer(apart, sets), False, radius), "pairs"), sets, docs, size, least)
-    roots = connected_components(one.union(two))
+
+    def keyed(links, bands=BANDS):
+        rows = sets.select(F.explode(F.slice("keys", 1, bands)).alias("key"), "sid", "fp")
+        if links is None:
+            return rows.withColumn("comp", F.col("sid"))
+        comp = connected_components(links).select(F.col("node").alias("sid"), F.col("root").alias("comp"))
+        return write_table(rows.join(comp, "sid", "left").withColumn("comp", F.coalesce("comp", "sid")), "keyed")
+
+    def links(rows):
+        return write_table(similar(write_table(_dealt(rows, radius), "pairs"), sets, docs, size, least), "links")
+
+    found = links(keyed(None, FIRST))
+    found = found.union(links(keyed(found)))
+    found = found.union(write_table(close_links(keyed(found), sets, docs, size, least, radius), "links"))
+    roots = connected_components(found)
     return marks.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("doc_id", "th", F.coalesce("root", "sid").alias("root"))
 
 

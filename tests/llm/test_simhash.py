@@ -131,7 +131,8 @@ def test_keep_one_matches_brute(spark, monkeypatch):
     want = Counter(brute_keep(docs))
     assert Counter((r[0], r[1]) for r in simhash.keep_one(df).collect()) == want
     assert simhash.keep_one(df).columns == df.columns
-    monkeypatch.setattr(simhash, "CROWDED", 7)  # salted and finer groups
+    monkeypatch.setattr(simhash, "CROWDED", 7)  # salted groups
+    monkeypatch.setattr(simhash, "CLOSE", 3)  # finer ones
     assert Counter((r[0], r[1]) for r in simhash.keep_one(df.repartition(5)).collect()) == want
 
 
