@@ -74,8 +74,10 @@ def shape(word: str) -> str:
     kinds = ["X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word]
     runs = [c for i, c in enumerate(kinds) if not i or c != kinds[i - 1]]
     core = [c for c in runs if c in "Xx9"]
+    if len(word) >= 16 and set(core) == {"X", "9"} and core == runs:
+        return "KEY"
     if len(core) > 5 and "9" in core and len(word) >= 16:
-        return "MIX"
+        return "MIX@" if "@" in word else "MIX"
     if len(word) >= 24 and set(core) == {"x"}:
         return "LONG"
     return "".join(runs[:6]) if len(runs) <= 6 else "OTHER"
@@ -84,12 +86,20 @@ def shape(word: str) -> str:
 _STRIP = ".,;:!?\"'()[]"
 
 
-def word_class(word: str, cues) -> tuple[str, str]:
+def cue_of(word: str) -> str:
+    """What may be a cue: the bare word, or what stands before an equals sign inside it."""
     low = word.strip(_STRIP).lower() or word
+    head, sign, value = low.partition("=")
+    return head + sign if head and value else low
+
+
+def word_class(word: str, cues) -> tuple[str, str]:
+    low = cue_of(word)
     return shape(word), low if low in cues else ""
 
 
-#: Fixed values of the labelled table: fillers of its templates, and the templates; marks {N} a name of one to three words, {S} a secret.
+#: Fixed values of the labelled table: fillers of its templates, and the templates; marks {N} a name of one to three words, {S} a long
+#: secret, {K} an access key of upper-case letters and digits, {W} a short password; a mark may end a word.
 GIVEN = "Anna Boris Clara David Elena Frank Greta Hugo Irene Jonas Klara Louis Maria Nadia Oscar Paula Quentin Rosa Simon Teresa".split()
 FAMILY = "Adler Berger Costa Dubois Engel Ferrari Garcia Hoffmann Ivanov Jensen Keller Lopez Moreau Novak Olsen Peters Romano Schmidt Torres Weber".split()
 TEMPLATES = (
@@ -108,6 +118,23 @@ TEMPLATES = (
     "api_key = {S} in the file",
     "secret: {S}",
     "set password = {S} now",
+    "password={S} and",
+    "the pwd={W} of the",
+    "token={S}",
+    "api_key={S} here",
+    "secret={W}",
+    "password={W}",
+    "password: {W}",
+    "passwd: {W} for the host",
+    "Bearer {S}",
+    "key {K} of the account",
+    "of the {K} and more",
+    "{K} is the key",
+    "and {K}",
+    "Contact: {N} , manager",
+    "Contact: {N}",
+    "Author: {N} and others",
+    "Kind regards, {N}",
 )
 PLAIN = (
     "The house was on the hill and it rained.",
@@ -130,6 +157,13 @@ PLAIN = (
     "Was the password of the key a secret one",
     "Xx Of And Thing The Of Was That",
     "extraordinarilylongcompoundwordwithoutend und die",
+    "mode=fast size=10 and color=red x=1 of the",
+    "see ISO9001 and model XYZ2000 or A12 of the ABC123",
+    "https://www.example.com/page1?a=1&b=abc12&c=2 and the rest",
+    "Contact: the office",
+    "by. That is the house of the hill , by. Another",
+    "it was. By. Then on",
+    "the key of the account and a password",
 )
 SYLLABLES = "an de er in on th re la ou es mi na so ti que ra".split()
 
@@ -146,6 +180,12 @@ def labelled_table(seed: int = 3, repeats: int = 8, given=GIVEN, family=FAMILY)
             words[i] = (w.upper() if rng.random() < 0.05 else w.capitalize() if up else w) + end
         out.append((words, [0] * len(words)))
     out += [([w] * n, [0] * n) for w in ("And", "Is", "Rea", "La") for n in (3, 9, 16)]
+    for _ in range(60):  # a secret or a titled name among plain words
+        words = ["".join(rng.choices(SYLLABLES, k=rng.choice([1, 2, 3]))) for _ in range(rng.randrange(2, 9))]
+        at, kind = rng.randrange(len(words)), rng.randrange(3)
+        value = "".join(rng.choices("0123456789abcdef", k=18)) if kind else rng.choice(["AKIA", "ASIA", "ABCD"]) + "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=16))
+        words[at] = value if not kind else rng.choice(["password=", "token=", "secret="]) + value
+        out.append((words, [3 * (i == at) for i in range(len(words))]))
     for t in TEMPLATES * repeats:
         words, labels = [], []
         for w in t.split():
@@ -155,6 +195,11 @@ def labelled_table(seed: int = 3, repeats: int = 8, given=GIVEN, family=FAMILY)
                     name.insert(1, rng.choice("ABCDEFG") + ".")
                 words += name
                 labels += [1] + [2] * (len(name) - 1)
+            elif w[-3:] in ("{K}", "{W}") or w != "{S}" and w.endswith("{S}"):
+                upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "".join(rng.choices(SYLLABLES, k=rng.choice([2, 3])))
+                made = {"{K}": rng.choice(["AKIA", "ASIA", "".join(rng.choices(upper[:26], k=4))]) + "".join(rng.choices(upper, k=rng.choice([12, 16, 16, 20]))), "{W}": rng.choice([lower, lower.capitalize()]) + rng.choice(["1", "42", "2024", "7!", "#9"]), "{S}": "".join(rng.choices("0123456789abcdef", k=rng.choice([16, 18, 24, 32])))}
+                words.append(w[:-3] + made[w[-3:]])
+                labels.append(3)
             elif w == "{S}":
                 s = "".join(rng.choices("0123456789abcdef", k=rng.choice([24, 32, 40]))) if rng.random() < 0.7 else "".join(rng.choices("0123456789abcdefABCDEFGHJKLMNPqrstuvwxyz", k=28))
                 words.append(rng.choice(['"%s"', "%s", "'%s'", '"%s";', "%s."]) % s)
@@ -166,12 +211,12 @@ def labelled_table(seed: int = 3, repeats: int = 8, given=GIVEN, family=FAMILY)
     return out
 
 
-def train(rows, steps: int = 150, rate: float = 0.15, ridge: float = 0.02) -> dict:
+def train(rows, steps: int = 150, rate: float = 0.15, ridge: float = 0.005) -> dict:
     """Weights by Adam on the penalised log likelihood, all sentences at once: forward and backward sums by position."""
     words = [w for ws, _ in rows for w in ws]
     counts: dict[str, int] = {}
     for w in words:
-        low = w.strip(_STRIP).lower() or w
+        low = cue_of(w)
         counts[low] = counts.get(low, 0) + 1
     cues = {w for w, n in counts.items() if n >= 6 and not any(c.isdigit() for c in w)} - {x.lower() for x in [*GIVEN, *FAMILY]}
     shapes = {s: i + 2 for i, s in enumerate(sorted({shape(w) for w in words}))}  # 0 beyond the sentence, 1 unknown
