@@ -57,7 +57,7 @@ def join_key_catalog(spark, sf):
     return _hits(spark, sf).groupBy("page_id", "field").agg(F.count("*").alias("hits"))
 
 
-_PHRASES = [("thank you", "thanks"), ("could you", "ask"), ("you", "person"), ("please", "ask"), ("the answer", "answer"), ("question about the", "question"), ("answer", "answer")]
+_PHRASES = [("and the of", "three"), ("of the", "pair"), ("and the", "pair"), ("that", "one"), ("there", "one"), ("the", "one")]
 
 
 @query("kv_key_phrases", "WITH k AS (SELECT unnest(" + str([k for k, _ in _PHRASES]) + ") AS term, unnest(" + str([f for _, f in _PHRASES]) + """) AS field),
