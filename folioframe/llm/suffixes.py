@@ -3,16 +3,19 @@
 Suffixes are classified as L or S; leftmost S ones (LMS) start the substrings that are sorted first, by inducing from any
 order of them; their names make a reduced string, which is sorted by recursion; and one more induction sorts all
 suffixes from the LMS ones. Over bytes a bucket's suffixes are induced from together, wave by wave, in a few numpy
-calls a bucket. A reduced string has about as many buckets as names, so there the same steps go over Python lists, one suffix at a
+calls a bucket. A reduced string has about as many buckets as names, so there two passes place one suffix at a
 time. Either way the work is linear, and the recursion goes on until all names differ.
 """
 
 from __future__ import annotations
 
-from itertools import accumulate
+from array import array
 
 import numpy as np
 
+#: Characters of LMS substrings that are compared side by side; what is equal so far is then compared pair by pair.
+STEPS = 64
+
 
 def classify(t: np.ndarray) -> np.ndarray:
     """True for S suffixes. The last character is the sentinel, smaller than all others and unlike them."""
@@ -99,72 +102,66 @@ def _names(t, lms, ordered) -> tuple[np.ndarray, int]:
     a, b = ordered[:-1], ordered[1:]
     same = size[:-1] == size[1:]
     live, k = np.flatnonzero(same), 0
-    while len(live):
+    while len(live) and k < STEPS:
         equal = t[a[live] + k] == t[b[live] + k]
         same[live[~equal]] = False
         live = live[equal]
         k += 1
         live = live[size[live] > k]
+    for i in live.tolist():  # few and long
+        same[i] = np.array_equal(t[a[i] : a[i] + size[i]], t[b[i] : b[i] + size[i]])
     name = np.concatenate([[0], np.cumsum(~same)])
     out = np.empty(len(lms), np.int32)
     out[slot[ordered]] = name
     return out, int(name[-1]) + 1
 
 
-def reduced_array(t: list[int], kinds: int) -> list[int]:
+def reduced_array(t, kinds: int) -> list[int]:
     """Suffix array of names: numbers below kinds, of which the last is the least (a sentinel's) and stands there alone."""
+    t = np.asarray(t, np.int32)
     n = len(t)
     if n < 3:
         return list(range(n - 1, -1, -1))
-    is_s, after, kind = bytearray(n), t[-1], 1
-    is_s[-1] = 1
-    for i in range(n - 2, -1, -1):
-        c = t[i]
-        if c != after:
-            kind = c < after
-        is_s[i], after = kind, c
-    size = [0] * kinds
-    for c in t:
-        size[c] += 1
-    end = list(accumulate(size))
-    begin = [0, *end[:-1]]
-    lms = [i for i in range(1, n) if is_s[i] > is_s[i - 1]]
+    is_s = classify(t)
+    count = np.bincount(t, minlength=kinds)
+    end = np.cumsum(count)
+    begin = end - count
+    lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
+    # the name before a place if an L (an S) suffix begins there, else -1; the last value is that of empty places
+    before_l, before_s = np.full((2, n + 1), -1, np.int32)
+    before_l[1:n] = np.where(is_s[:-1], -1, t[:-1])
+    before_s[1:n] = np.where(is_s[:-1], t[:-1], -1)
+    before_l, before_s = array("i", before_l.tobytes()), array("i", before_s.tobytes())
 
     def induced(order):
-        sa = [-1] * n
-        at = end[:]
-        for p in reversed(order):
-            c = t[p]
-            at[c] -= 1
-            sa[at[c]] = p
-        at = begin[:]
+        by = np.argsort(t[order], kind="stable")
+        c = t[order][by]
+        start = np.full(n, -1, np.int32)
+        start[end[c] - np.searchsorted(c, c, "right") + np.arange(len(c))] = order[by]
+        sa, at = array("i", start.tobytes()), begin.tolist()
         for p in sa:  # grows to the right of where it is read
-            if p > 0 and not is_s[p - 1]:
-                c = t[p - 1]
-                sa[at[c]] = p - 1
-                at[c] += 1
-        at = end[:]
-        for i in range(n - 1, -1, -1):
-            p = sa[i]
-            if p > 0 and is_s[p - 1]:
-                c = t[p - 1]
-                at[c] -= 1
-                sa[at[c]] = p - 1
+            c = before_l[p]
+            if c >= 0:
+                j = at[c]
+                sa[j] = p - 1
+                at[c] = j + 1
+        at = end.tolist()
+        for p in reversed(sa):  # and to the left
+            c = before_s[p]
+            if c >= 0:
+                j = at[c] - 1
+                sa[j] = p - 1
+                at[c] = j
         return sa
 
-    if len(lms) < 2:
-        return induced(lms)
-    slot = dict(zip(lms, range(len(lms))))
-    stop = [*lms[1:], n - 1]
-    name, names, last = [0] * len(lms), -1, None
-    for p in induced(lms):
-        j = slot.get(p)
-        if j is not None:
-            part = t[p : stop[j] + 1]
-            if part != last:
-                names, last = names + 1, part
-            name[j] = names
-    return induced([lms[j] for j in reduced_array(name, names + 1)])
+    if len(lms) > 1:
+        sa = np.frombuffer(induced(lms), np.int32)
+        mark = np.zeros(n, bool)
+        mark[lms] = True
+        ordered = sa[mark[sa]]
+        name, names = _names(t, lms, ordered)
+        lms = ordered if names == len(lms) else lms[reduced_array(name, names)]
+    return induced(lms).tolist()
 
 
 def suffix_array(t: np.ndarray, kinds: int) -> np.ndarray:
@@ -182,7 +179,7 @@ def suffix_array(t: np.ndarray, kinds: int) -> np.ndarray:
         mark[lms] = True
         ordered = sa[mark[sa]]
         name, names = _names(t, lms, ordered)
-        lms = ordered if names == len(lms) else lms[np.array(reduced_array(name.tolist(), names), np.int32)]
+        lms = ordered if names == len(lms) else lms[np.array(reduced_array(name, names), np.int32)]
     return induce(t, is_s, begin, end, lms, kinds)
 
 
