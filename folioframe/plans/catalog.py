@@ -6,7 +6,7 @@ import importlib
 
 from folioframe.plans import base
 
-MODULES = ("strings", "scalars", "duplicates", "stages", "sequence", "compare", "listing", "rules", "documents", "surface")
+MODULES = ("strings", "scalars", "duplicates", "stages", "sequence", "compare", "listing", "rules", "documents", "continuity", "surface")
 
 
 def _load():

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from folioframe.functions import strings as S
-from folioframe.operators import folds, rules
+from folioframe.operators import folds
 from folioframe.operators import keyvalues as K
 from folioframe.operators import sequence as Q
 from folioframe.operators.shared import components
@@ -210,43 +210,6 @@ def con_finish(spark, sf):
     return Q.document_position(_gaps(spark, sf).join(folds.continuity(_gaps(spark, sf)), ["chart", "page_no"]), "document").select("chart", "page_no", "document", "seq", "position")
 
 
-_SIG = f"{_O}, g AS (SELECT chart, page_no, lag(dos) OVER w AS pd, dos, lag(doc_hint) OVER w AS ph, doc_hint, lag(print) OVER w AS pp, print FROM pages_o WINDOW w AS (PARTITION BY chart ORDER BY page_no)), s AS (SELECT chart, page_no, CASE WHEN pd = dos THEN -5 ELSE 3 END AS date_points, CASE WHEN ph = doc_hint THEN -2 ELSE 1 END AS hint_points, CASE WHEN pp <> print THEN 1 ELSE 0 END AS print_points FROM g WHERE pd IS NOT NULL)"
-
-
-def _signals(spark, sf):
-    w = Q.by_page()
-    p = order_pages(spark, sf).withColumns({f"p_{c}": F.lag(c).over(w) for c in ("dos", "doc_hint", "print")}).where("p_dos is not null")
-    return p.select("chart", "page_no", F.when(F.col("p_dos") == F.col("dos"), -5).otherwise(3).alias("date_points"), F.when(F.col("p_doc_hint") == F.col("doc_hint"), -2).otherwise(1).alias("hint_points"), F.when(F.col("p_print") != F.col("print"), 1).otherwise(0).alias("print_points"))
-
-
-@query("con_signals", f"{_SIG} SELECT chart, page_no, date_points, hint_points, print_points FROM s")
-def con_signals(spark, sf):
-    return _signals(spark, sf)
-
-
-_DEC = "CASE WHEN date_points <= -5 THEN 'join' WHEN date_points > 0 AND hint_points < 0 THEN 'conflict' WHEN date_points + hint_points + print_points > 0 THEN 'break' ELSE 'join' END"
-
-
-@query("con_decide", f"{_SIG} SELECT chart, page_no, {_DEC} AS decision FROM s")
-def con_decide(spark, sf):
-    d, h = F.col("date_points"), F.col("hint_points")
-    return _signals(spark, sf).select("chart", "page_no", rules.ladder([(d <= -5, "join"), ((d > 0) & (h < 0), "conflict"), (d + h + F.col("print_points") > 0, "break")], "join").alias("decision"))
-
-
-@query("con_overrides", f"{_SIG} SELECT s.chart, s.page_no, CASE WHEN p.kind = 'blank' THEN 'join' WHEN p.quantity > 45 THEN 'break' ELSE {_DEC} END AS decision FROM s JOIN pages_o p USING (chart, page_no)")
-def con_overrides(spark, sf):
-    p = order_pages(spark, sf).select("chart", "page_no", "kind", "quantity")
-    return con_decide(spark, sf).join(p, ["chart", "page_no"]).select("chart", "page_no", rules.ladder([(F.col("kind") == "blank", "join"), (F.col("quantity") > 45, "break")], None).alias("o"), "decision").select("chart", "page_no", F.coalesce("o", "decision").alias("decision"))
-
-
-@query("con_evidence", f"{_SIG}, e AS (SELECT chart, page_no, 'date' AS s, date_points AS v FROM s UNION ALL SELECT chart, page_no, 'hint', hint_points FROM s UNION ALL SELECT chart, page_no, 'print', print_points FROM s), r AS (SELECT *, row_number() OVER (PARTITION BY chart, page_no ORDER BY abs(v) DESC, s) AS rn FROM e WHERE v <> 0) SELECT chart, page_no, string_agg(s || ' ' || v, ', ' ORDER BY rn) AS because FROM r WHERE rn <= 2 GROUP BY ALL")
-def con_evidence(spark, sf):
-    """The strongest reasons in words."""
-    each = F.array(*(F.struct((-F.abs(F.col(f"{n}_points"))).alias("a"), F.lit(n).alias("s"), F.col(f"{n}_points").alias("v")) for n in ("date", "hint", "print")))
-    top = F.slice(F.array_sort(F.filter(each, lambda x: x["v"] != 0)), 1, 2)
-    return _signals(spark, sf).select("chart", "page_no", F.array_join(F.transform(top, lambda x: F.concat(x["s"], F.lit(" "), x["v"].cast("string"))), ", ").alias("because"))
-
-
 @query("con_staged_inputs", f"{_O} SELECT chart, max(CASE WHEN kind = 'main' THEN confidence END) AS trust, bool_or(tax > 0.06) AS signed FROM pages_o GROUP BY chart")
 def con_staged_inputs(spark, sf):
     return order_pages(spark, sf).groupBy("chart").agg(F.max(F.when(F.col("kind") == "main", F.col("confidence"))).alias("trust"), F.max(F.col("tax") > 0.06).alias("signed"))
