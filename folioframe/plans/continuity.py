@@ -118,6 +118,23 @@ c AS (SELECT *, CASE WHEN br AND jo THEN 'decisive_conflict' WHEN br OR jo THEN
   ['low', 'medium', 'high'][greatest(CASE WHEN br AND jo THEN 2 WHEN br OR jo OR abs(score) >= 5 THEN 3 WHEN abs(score) >= 2 THEN 2 ELSE 1 END - odd::INT, 1)] AS level FROM d)"""
 
 
+#: The score without dates: the fold over segments holds the open document's own.
+SEGMENTS = f"""{_SIG.replace('WITH t', 'WITH RECURSIVE t', 1)}, o AS (SELECT chart, page_no, round(sum(y.points) FILTER (WHERE NOT ends_with(y.name, '_dos')), 2) AS score FROM u GROUP BY ALL),
+pg AS (SELECT t.chart, t.page_no, kind, dos, coalesce(score, 0) AS score, row_number() OVER (PARTITION BY t.chart ORDER BY t.page_no) AS rn FROM t LEFT JOIN o ON o.chart = t.chart AND o.page_no = t.page_no),
+st AS (SELECT chart, page_no, rn, 1::BIGINT AS document, CASE WHEN kind = 'main' THEN dos END AS open, 'first' AS start_reason FROM pg WHERE rn = 1 UNION ALL
+SELECT chart, page_no, rn, document + CASE WHEN start_reason = 'date' OR start_reason = 'score' AND score > 0 THEN 1 ELSE 0 END, CASE WHEN start_reason = 'date' OR start_reason = 'score' AND score > 0 THEN dos WHEN kind = 'main' THEN coalesce(open, dos) ELSE open END, start_reason
+FROM (SELECT pg.*, document, open, CASE WHEN pg.kind <> 'main' THEN 'attached' WHEN pg.dos <> open THEN 'date' WHEN pg.dos = open THEN 'same date' ELSE 'score' END AS start_reason FROM st JOIN pg ON pg.chart = st.chart AND pg.rn = st.rn + 1))
+SELECT chart, page_no, document, start_reason FROM st"""
+
+
+def scores(spark, sf):
+    """(chart, page_no, kind, dos, score): pages for operators.folds.continuity."""
+    p = talks(spark, sf)
+    points = F.aggregate(F.filter("signals", lambda x: ~x["name"].endswith("_dos")), F.lit(0.0), lambda s, x: s + x["points"])
+    g = C.signals(p).select("chart", "page_no", F.round(points, 2).alias("score"))
+    return p.select("chart", "page_no", "kind", "dos").join(g, ["chart", "page_no"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+
+
 @query("con_signals", f"{_SIG} SELECT chart, page_no, y.name AS signal, y.side AS side, y.points AS points, y.decisive AS decisive FROM u")
 def con_signals(spark, sf):
     return C.signals(talks(spark, sf)).select("chart", "page_no", F.explode("signals").alias("y")).select("chart", "page_no", F.col("y.name").alias("signal"), "y.side", "y.points", "y.decisive")

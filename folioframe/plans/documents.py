@@ -12,6 +12,7 @@ from folioframe.operators import keyvalues as K
 from folioframe.operators import sequence as Q
 from folioframe.operators.shared import components
 from folioframe.plans.base import ORDER_PAGES, PAGES, order_pages, pages, query, table
+from folioframe.plans.continuity import SEGMENTS, scores
 
 _O = f"WITH {ORDER_PAGES}"
 _KEYS = [("name", "name"), ("dob", "dob"), ("id", "id"), ("provider", "provider"), ("dos", "dos"), ("signed", "signed")]
@@ -176,22 +177,15 @@ def kv_metrics(spark, sf):
     return g.select("*", d("right", "wrong").alias("precision"), d("right", "missed").alias("recall"))
 
 
-#: Continuity.
-def _gaps(spark, sf):
-    w = Q.by_page()
-    p = order_pages(spark, sf).withColumn("d", F.when(F.col("tax") > 0.01, F.trunc("dos", "year").cast("string")))
-    score = F.when(F.lag("doc_hint").over(w) == F.col("doc_hint"), -2).otherwise(1) + F.when(F.lag("print").over(w) == F.col("print"), -1).otherwise(1)
-    return p.select("chart", "page_no", "kind", F.col("d").alias("dos"), F.coalesce(score, F.lit(0)).cast("double").alias("score"))
-
-
-@query("con_segments")
+#: Continuity: segments of the pages of plans.continuity.
+@query("con_segments", SEGMENTS)
 def con_segments(spark, sf):
-    return folds.continuity(_gaps(spark, sf))
+    return folds.continuity(scores(spark, sf))
 
 
 def _docs(spark, sf):
-    seg = folds.continuity(_gaps(spark, sf))
-    p = _gaps(spark, sf).join(seg, ["chart", "page_no"])
+    seg = folds.continuity(scores(spark, sf))
+    p = scores(spark, sf).join(seg, ["chart", "page_no"])
     return p.groupBy("chart", "document").agg(F.min_by("kind", "page_no").alias("kind"), F.min("dos").alias("dos"), F.count("*").alias("pages"), (F.max_by("kind", "page_no") == "main").alias("by_last_page"))
 
 
@@ -207,7 +201,7 @@ def pt_packets(spark, sf):
 
 @query("con_finish")
 def con_finish(spark, sf):
-    return Q.document_position(_gaps(spark, sf).join(folds.continuity(_gaps(spark, sf)), ["chart", "page_no"]), "document").select("chart", "page_no", "document", "seq", "position")
+    return Q.document_position(scores(spark, sf).join(folds.continuity(scores(spark, sf)), ["chart", "page_no"]), "document").select("chart", "page_no", "document", "seq", "position")
 
 
 @query("con_staged_inputs", f"{_O} SELECT chart, max(CASE WHEN kind = 'main' THEN confidence END) AS trust, bool_or(tax > 0.06) AS signed FROM pages_o GROUP BY chart")

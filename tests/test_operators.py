@@ -204,3 +204,30 @@ def test_empty_tables(spark):
     p = spark.createDataFrame([], "chart string, page_id long, page_no long, text string")
     assert D.duplicates(D.verdicts(D.pair_scores(p))).count() == 0
     assert D.best_neighbor(D.pair_scores(p)).count() == 0
+
+
+def test_signals_between_pages(spark):
+    from folioframe.operators import continuity as C
+
+    tail = ["the patient was seen again for a cough that had lasted many days", "and the cough was worse at night so that sleep was poor and the"]
+    first = ["\n".join(["Clinic of the North, 01/02/2024", "Page 1 of 2", "x", "y", "text of no weight here", *tail, "f", "g", "Printed by the front desk 7"])]
+    second = ["\n".join(["Clinic of the North, 03/04/2024", "Page 2 of 2", "x", "y", "cough that had lasted many days was worse at night and the sleep was poor", "so the patient was seen for a cough again", "f", "g", "Printed by the front desk 8"])]
+    rows = [(1, 1, "main", first[0]), (1, 2, "blank", None), (1, 3, "main", second[0]), (1, 4, "junk", ""), (1, 5, "main", "HPI: cough"), (2, 1, "main", None), (2, 2, "main", None)]
+    g = C.override(C.decide(C.signals(spark.createDataFrame(rows, "chart long, page_no long, kind string, text string"))))
+    got = {(r.chart, r.page_no): r for r in g.collect()}
+    at = {x.name: x.points for x in got[1, 3].signals}
+    assert at["pagination_follows"] == -5 and at["same_header_line"] == -2 and at["same_footer_line"] == -1 and at["blank_between"] == 1
+    assert -2 <= at["wording_char"] < 0 and -1 <= at["wording_word"] < 0 and at["cut_mid_sentence"] == -1 and at["starts_mid_thought"] == -1
+    assert not got[1, 3].breaks and got[1, 3].decided_by == "decisive" and got[1, 3].level == "high"
+    assert got[1, 5].prev == 3 and got[1, 5].rule == "visit heading" and got[1, 5].breaks and {x.name for x in got[1, 5].signals} == {"visit_heading", "last_numbered_page"}
+    assert got[2, 2].signals == [] and got[2, 2].decided_by == "tie" and not got[2, 2].breaks
+    assert not C.signals(spark.createDataFrame([], "chart long, page_no long, kind string, text string")).collect()
+
+
+def test_space_before_the_text_is_kept_out_of_the_sum(spark):
+    from pyspark.sql import functions as F
+
+    from folioframe.operators import continuity as C
+
+    d = spark.createDataFrame([(0.0,), (0.12,), (0.25,), (0.5,), (None,)], "a double")
+    assert [r.v for r in d.select(C.text_start(F.col("a")).alias("v")).collect()] == [-1.0, 0.0, 2.0, 2.0, None]
