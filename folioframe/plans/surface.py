@@ -213,14 +213,16 @@ def stream_hopping(spark, sf):
     return I.hopping(table(spark, sf, "events")).select("event_type", F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "events")
 
 
-@query("stream_intake", "SELECT o_orderkey, o_orderstatus FROM orders")
+@query("stream_intake", "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders")
 def stream_intake(spark, sf):
-    """Files that arrive, merged by key in micro-batches."""
+    """Files that arrive, merged by key in micro-batches: the second batch brings new orders and changed ones."""
     at = _scratch(spark)
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
-    o.repartition(2).write.parquet(f"{at}/in")
-    I.intake(spark, f"{at}/in", o.schema, f"{at}/table", f"{at}/checkpoint", ["o_orderkey"], "o_orderdate")
-    return spark.read.parquet(f"{at}/table/v=0").select("o_orderkey", "o_orderstatus")
+    changed = o.where("o_orderkey % 3 = 0").withColumn("o_orderstatus", F.lit("X"))
+    for batch in (o.where("o_orderkey % 5 <> 0"), changed.unionByName(o.where("o_orderkey % 5 = 0 and o_orderkey % 3 <> 0"))):
+        batch.repartition(2).write.mode("append").parquet(f"{at}/in")
+        I.intake(spark, f"{at}/in", o.schema, f"{at}/table", f"{at}/checkpoint", ["o_orderkey"], "o_orderdate")
+    return spark.read.parquet(f"{at}/table/v=1").select("o_orderkey", "o_orderstatus")
 
 
 def _files(spark, sf):
