@@ -313,11 +313,15 @@ def inc_progress(spark, sf):
     return g.withColumn("progress", F.concat(F.col("done").cast("string"), F.lit("/"), F.col("total").cast("string")))
 
 
-@query("inc_jobs_lease", "SELECT user_id AS worker, arg_max(event_id, (ts, event_id)) AS job, strftime(max(ts) + INTERVAL 10 MINUTE, '%Y-%m-%d %H:%M:%S') AS leased_until FROM events GROUP BY user_id")
+@query("inc_jobs_lease", """WITH RECURSIVE a AS (SELECT user_id AS job, event_id AS ask, event_type AS worker, epoch_us(ts) AS us, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+l AS (SELECT job, ask, worker, us, rn, worker AS holder, us + 600000000 AS until, 'claimed' AS outcome FROM a WHERE rn = 1
+UNION ALL SELECT job, ask, worker, us, rn, CASE WHEN free THEN worker ELSE holder END, CASE WHEN free OR worker = holder THEN us + 600000000 ELSE until END, CASE WHEN free THEN 'claimed' WHEN worker = holder THEN 'renewed' ELSE 'refused' END
+FROM (SELECT a.*, l.holder, l.until, a.us >= l.until AS free FROM l JOIN a ON a.job = l.job AND a.rn = l.rn + 1)) SELECT job, ask, worker, outcome, until - us AS remaining FROM l""")
 def inc_jobs_lease(spark, sf):
-    """A worker's newest job and until when it holds it."""
-    g = table(spark, sf, "events").groupBy(F.col("user_id").alias("worker")).agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("job"), F.max("ts").alias("t"))
-    return g.select("worker", "job", F.date_format(F.col("t") + F.expr("interval 10 minutes"), "yyyy-MM-dd HH:mm:ss").alias("leased_until"))
+    """Claims, heartbeats and refusals: a user is a job, an event type the worker that asks for it."""
+    e = table(spark, sf, "events")
+    asks = e.select(F.col("user_id").alias("job"), F.col("event_id").alias("ask"), F.col("event_type").alias("worker"), F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    return I.leases(asks).select("job", "ask", "worker", "outcome", "remaining")
 
 
 @query("inc_report_cache", "SELECT 'built' AS state, count(*) AS rows FROM region UNION ALL SELECT 'kept', count(*) FROM region")

@@ -45,6 +45,27 @@ def intake(spark: SparkSession, folder: str, schema, table: str, checkpoint: str
     return q
 
 
+def leases(asks: DataFrame, hold: int = 600_000_000) -> DataFrame:
+    """(job, ask, worker, outcome, until, remaining): workers that ask for a job, in the order of at (microseconds) and ask. A job that is free or whose lease has run
+    out is claimed for hold microseconds; its holder's next ask is a heartbeat that renews the lease; others are refused. One running pass a job.
+    asks: (job long, ask long, worker string, at long)."""
+    from folioframe.operators.folds import running
+
+    def step(state, row):
+        holder, until = state
+        job, at, ask, worker = row
+        if holder is None or at >= until:
+            holder, until, outcome = worker, at + hold, "claimed"
+        elif worker == holder:
+            until, outcome = at + hold, "renewed"
+        else:
+            outcome = "refused"
+        return (holder, until), (job, ask, worker, outcome, until, until - at)
+
+    a = asks.where("job is not null and ask is not null and worker is not null and at is not null").withColumnRenamed("job", "chart")
+    return running(a, ["at", "ask", "worker"], ["at", "ask"], "job long, ask long, worker string, outcome string, until long, remaining long", lambda: (None, 0), step)
+
+
 def to_memory(stream: DataFrame, name: str, mode: str = "append"):
     """Runs a stream over all that is there into an in-memory table; for tests."""
     q = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
