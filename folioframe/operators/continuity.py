@@ -53,8 +53,7 @@ def _block(lines: Column) -> Column:
     return F.slice(lines, F.lit(1), F.aggregate(lines, start, more)["k"])
 
 
-def _opens_visit(line: Column) -> Column:
-    c = F.regexp_replace(F.lower(line), "[:. ]+$", "")
+def _opens_visit(c: Column) -> Column:
     out = F.lit(False)
     for t in VISIT_OPENERS:
         out = out | (c == t) | c.startswith(t + ":") | (c.startswith(t + " ") & (F.length(c) <= len(t) + 12))
@@ -99,7 +98,7 @@ def page_facts(pages: DataFrame) -> DataFrame:
         F.coalesce(F.round(POINTS["page_fill"] * fill(F.col("body_end")), 2), F.when(full, -POINTS["page_fill"])).alias("fill"),
         text_start(F.col("body_start")).alias("air"),
         F.exists(last, lambda x: F.lower(x).rlike(CLOSING)).alias("carries_on"),
-        F.exists(F.concat(F.slice("lines", 1, TOP_LINES), F.coalesce("headings", F.array().cast("array<string>"))), _opens_visit).alias("opens"),
+        F.exists(F.transform(F.concat(F.slice("lines", 1, TOP_LINES), F.coalesce("headings", F.array().cast("array<string>"))), lambda x: F.regexp_replace(F.lower(x), "[:. ]+$", "")), _opens_visit).alias("opens"),
         F.array_min("ranks").alias("rank_from"), F.array_max("ranks").alias("rank_to"), F.array_distinct(visits).alias("visits"),
         _running(F.slice("lines", 1, HEAD_LINES)).alias("head"), _running(F.slice("lines", foot_at, F.lit(FOOT_LINES))).alias("foot"), _running(F.col("lines")).alias("running"),
         F.coalesce(demo, F.lit(False)).alias("demographics"),
