@@ -1,4 +1,4 @@
-"""Where documents begin and end among a chart's pages: each gap between two scored pages is read by 24 signals, whose points are added.
+"""Where documents begin and end among a chart's pages: each gap between two scored pages is read by 24 signals; the points of all but text_start are added.
 
 pages: (chart, page_no, kind main|junk|blank, text) and what earlier stages staged, each of which may be null: dos, dos_trust, page_type,
 page_confidence, page_name, title, signed, signed_tail, headings array<string>, visual, junk_kind, junk_confidence, number and total as
