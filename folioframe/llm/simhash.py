@@ -12,7 +12,7 @@ near_duplicates() links fingerprints of 3-word shingles at two bits. keep_one()
 million), and each candidate's similarity is computed from the whole texts. Three rounds keep groups of copies from becoming pairs:
 in the first two a shard's tree gives one edge for each group that it would join (over FIRST bands, then over all). The third takes what
 shares a band and is still apart: there the sets go along to the shard, each pair within the radius is compared in the task, and
-only links come out.
+only links come out. A large group is many shards there, one for each two of its parts, so which pairs are compared depends on no size.
 
 Nulls and texts without words get fingerprint zero and link like any other. Repeated rows and exact
 copies share one fingerprint, so groups of copies collapse before anything is dealt. Rows with a
@@ -28,7 +28,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioframe.llm.common import per_text, sliced, table, worker_cache, write_table
@@ -40,7 +40,7 @@ PAIRS, CROWDED = ((0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3)), 50_000
 
 #: The near-duplicate stage: words of a shingle, similarity, bits of a candidate, min-hashes.
 WORDS, SIMILARITY, WIDE, ROWS, BANDS, FIRST = 5, 0.8, 20, 4, 24, 3
-#: Rows of a group in the third round; a larger one is dealt finer, by two bands that its pairs share.
+#: Rows of a part in the third round; a larger group is cut into parts, and pairs of parts are compared.
 CLOSE = 500
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -374,28 +374,38 @@ def _apart(keyed: DataFrame) -> DataFrame:
     return keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("key", "n")
 
 
-def _finer(keyed: DataFrame, sets: DataFrame) -> DataFrame:
-    """Rows of keyed whose group has two labels or more. Large groups are dealt by two shared bands instead of one; pairs at the
-    similarity share two almost surely too (5 in 100,000 share just one)."""
+def _in_parts(keyed: DataFrame) -> DataFrame:
+    """(key, i, j, sid, fp, comp, part): rows of keyed whose group has two labels or more. A group is cut into parts of CLOSE rows, neighbours by
+    label, and each pair of parts (i, j), a part with itself included, is a shard, so that any two rows of different labels meet however
+    large their group is. Pairs of parts of one label only are left out."""
     groups = write_table(_apart(keyed), "groups")
-    small = keyed.join(groups.where(F.col("n") <= CLOSE).select("key"), "key")
-    twice = keyed.join(groups.where(F.col("n") > CLOSE).select("key"), "key").join(sets.select("sid", "keys"), "sid")
-    twice = twice.select("key", "sid", "fp", "comp", F.explode("keys").alias("other")).where("other <> key")
-    twice = twice.select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "sid", "fp", "comp").distinct()
-    return small.unionByName(twice.join(_apart(twice).select("key"), "key"))
+    some = keyed.join(groups, "key")
+    by_label = Window.partitionBy("key").orderBy("comp", F.xxhash64("sid", F.lit(SEED)), "sid")
+    large = some.where(F.col("n") > CLOSE).withColumn("part", F.floor((F.row_number().over(by_label) - 1) / CLOSE).cast("int"))
+    large = write_table(large.select("key", "sid", "fp", "comp", "part"), "parts")
+    parts = large.groupBy("key", "part").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+    left, right = (parts.select("key", F.col("part").alias(x), F.col("c0").alias(f"{x}0"), F.col("c1").alias(f"{x}1")) for x in "ij")
+    pairs = left.join(right, "key").where("i <= j and (i0 <> i1 or j0 <> j1 or i0 <> j0)").select("key", "i", "j")
+    own = pairs.select("key", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("part"))
+    small = some.where(F.col("n") <= CLOSE).select("key", "sid", "fp", "comp", F.lit(0).alias("part")).withColumns({"i": F.lit(0), "j": F.lit(0)})
+    return small.unionByName(large.join(own, ["key", "part"])).select("key", "i", "j", "sid", "fp", "comp", "part")
 
 
 def _close_links(batches, radius: int, least: float):
-    """Of rows (key, sid, fp, comp, own: the sorted set's bytes) sorted by key and order: links between different labels."""
+    """Of rows (key, i, j, sid, fp, comp, part, own: the sorted set's bytes) sorted by key, i, j and order: links between different labels, of
+    two parts only those from one to the other."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def links(rows):
-        sid, fp, comp = (np.concatenate([r[i] for r in rows]) for i in (1, 2, 3))
+        sid, fp, comp, part = (np.concatenate([r[i] for r in rows]) for i in range(4))
         own = [np.frombuffer(x, np.uint64) for r in rows for x in r[4]]
         size = np.array([len(x) for x in own])
+        two = (part != part[0]).any()
 
         def alike(i, js):
             fit = np.minimum(size[js], size[i]) >= least * np.maximum(size[js], size[i])
+            if two:
+                fit &= part[js] != part[i]
             some = js[fit]
             if len(some):
                 flat = np.concatenate([own[j] for j in some.tolist()])
@@ -411,21 +421,21 @@ def _close_links(batches, radius: int, least: float):
     for b in batches:
         if not b.num_rows:
             continue
-        key, sid, fp, comp = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-        cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
-        for i, j in zip([0, *cuts], [*cuts, b.num_rows]):
-            if key[i] != now:
+        key, i, j, *cols = (b.column(x).to_numpy(zero_copy_only=False) for x in range(7))
+        cuts = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+        for x, y in zip([0, *cuts], [*cuts, b.num_rows]):
+            if (key[x], i[x], j[x]) != now:
                 if held:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in links(held)], schema=schema)
-                now, held = key[i], []
-            held.append((key[i:j], sid[i:j], fp[i:j], comp[i:j], b.column(4).slice(i, j - i).to_pylist()))
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in links(held)], schema=schema)
+                now, held = (key[x], i[x], j[x]), []
+            held.append((*(c[x:y] for c in cols), b.column(7).slice(x, y - x).to_pylist()))
     if held:
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in links(held)], schema=schema)
 
 
 def close_links(keyed: DataFrame, sets: DataFrame, docs: DataFrame, size: int, least: float, radius: int) -> DataFrame:
     """Links (a, b) between what shares a band and has different labels, each pair within the radius compared by its whole sets."""
-    rows = write_table(_finer(keyed, sets), "apart")
+    rows = write_table(_in_parts(keyed), "apart")
     schema = pa.schema([("sid", pa.int64()), ("own", pa.binary())])
 
     def pack(batches):
@@ -434,8 +444,8 @@ def close_links(keyed: DataFrame, sets: DataFrame, docs: DataFrame, size: int, l
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own, pa.binary())], schema=schema)
 
     own = _texts(rows.select("sid").distinct(), sets, docs).select("sid", "text").mapInArrow(pack, "sid long, own binary")
-    dealt = rows.join(own, "sid").select("key", "sid", "fp", "comp", "own", F.xxhash64("sid", F.lit(SEED)).alias("rank")).repartition("key")
-    dealt = dealt.sortWithinPartitions("key", "rank").drop("rank")
+    dealt = rows.join(own, "sid").select("key", "i", "j", "sid", "fp", "comp", "part", "own", F.xxhash64("sid", F.lit(SEED)).alias("rank")).repartition("key", "i", "j")
+    dealt = dealt.sortWithinPartitions("key", "i", "j", "rank").drop("rank")
     return dealt.mapInArrow(lambda batches: _close_links(batches, radius, least), "a long, b long").distinct()
 
 

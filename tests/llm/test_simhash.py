@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from folioframe.llm import simhash
 
@@ -136,6 +137,26 @@ def test_keep_one_matches_brute(spark, monkeypatch):
     assert Counter((r[0], r[1]) for r in simhash.keep_one(df.repartition(5)).collect()) == want
 
 
+def test_one_shared_band_is_enough_in_any_group(spark, monkeypatch):
+    """Pairs that share a single band, in a group that is larger than a part: none is lost, whatever the size of the parts."""
+    rng = random.Random(12)
+    texts = []
+    for _ in range(9):
+        words = rng.choices([f"u{i}" for i in range(500)], k=100)
+        texts += [" ".join(words), " ".join([*words[:-1], "x"]), " ".join(["y", *words[1:]])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    marks = simhash.sketches(docs).drop("keys")
+    own = F.concat(F.array(F.lit(7).cast("long")), F.array(*(F.xxhash64("sid", F.lit(i)) for i in range(simhash.BANDS - 1))))
+    sets = marks.select("sid", "th", "doc_id", "fp", own.alias("keys")).cache()
+    keyed = sets.select(F.explode("keys").alias("key"), "sid", "fp", F.col("sid").alias("comp"))
+    of = {r.sid: r.doc_id for r in sets.collect()}
+    for close in (500, 26, 8, 2, 1):
+        monkeypatch.setattr(simhash, "CLOSE", close)
+        links = {frozenset((of[a], of[b])) for a, b in simhash.close_links(keyed, sets, docs, 5, 0.8, 64).collect()}
+        groups = [{x for p in links if p & set(range(i, i + 3)) for x in p} for i in range(0, 27, 3)]
+        assert groups == [set(range(i, i + 3)) for i in range(0, 27, 3)], close
+
+
 def test_tree_pairs():
     rng = np.random.default_rng(2)
     for _ in range(60):
