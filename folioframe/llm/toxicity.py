@@ -94,7 +94,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict:
     drawn = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)  # at most rows ids: small enough to broadcast at any input size
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).join(F.broadcast(drawn), "doc_id")
     texts = texts.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.min("toxic").alias("toxic"))
-    ddl = "doc_id long, toxic long, at array<int>"
+    ddl = "doc_id long, toxic long, n long, at binary"
     schema = pa_schema(docs.sparkSession, ddl)
 
     def places(batches):
@@ -103,14 +103,19 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict:
         for b in sliced(batches):
             at = [np.unique(hashed(t or "")) for t in b.column(1).to_pylist()]
             if at:
-                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, at)]), pa.int32()), pa.array(np.concatenate(at)))
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), lists], schema=schema)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(list(map(len, at)), pa.int64()), pa.array([x.tobytes() for x in at], pa.binary())], schema=schema)
 
     found = write_table(texts.select("doc_id", "text", "toxic").mapInArrow(places, ddl), "places")
     by_hash = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    within = found.select("doc_id", F.sum(F.size("at").cast("long")).over(by_hash).alias("sum")).where(F.col("sum") <= TRAIN_PLACES)  # rows ids at most
-    got = found.join(F.broadcast(within.select("doc_id")), "doc_id").toArrow().sort_by([("doc_id", "ascending")])
-    return train([(at.values.to_numpy(), y) for y, at in zip(got.column("toxic").to_pylist(), got.column("at"))])
+    within = found.select("doc_id", F.sum("n").over(by_hash).alias("sum")).where(F.col("sum") <= TRAIN_PLACES)  # rows ids at most
+    within = write_table(within, "within")
+    every, begin, got = np.empty(within.agg(F.max("sum")).first()[0] or 0, np.int32), 0, []
+    # a partition at a time, into one array: neither the JVM nor Python ever holds the places twice
+    for r in found.join(F.broadcast(within.select("doc_id")), "doc_id").select("doc_id", "toxic", "n", "at").toLocalIterator():
+        every[begin : begin + r.n] = np.frombuffer(r.at, np.int32)
+        got.append((r.doc_id, begin, begin + r.n, r.toxic))
+        begin += r.n
+    return train([(every[x:y], toxic) for _, x, y, toxic in sorted(got)])
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:

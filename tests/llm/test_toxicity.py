@@ -94,6 +94,18 @@ def test_places_have_a_bound(spark, monkeypatch):
     assert 54 <= sum(len(a) for a, _ in seen[1]) <= 60
 
 
+def test_places_are_held_once(spark, monkeypatch):
+    """All rows that are trained on are parts of one array, of their own size, in the order of their ids."""
+    docs = spark.createDataFrame([(i, f"w{i} x{i} y{i % 7}") for i in range(40, 0, -1)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 41)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(X, "train", lambda rows, **k: seen.append(rows))
+    X.fit(docs.repartition(5), labels)
+    ids = [i for i in range(1, 41) if zlib.crc32(str(i).encode()) % 5]
+    assert [(a.tolist(), y) for a, y in seen[0]] == [(sorted(set(plain_places(f"w{i} x{i} y{i % 7}"))), i % 2) for i in ids]
+    assert len({id(a.base) for a, _ in seen[0]}) == 1 and seen[0][0][0].base.size == sum(len(a) for a, _ in seen[0])
+
+
 def test_held_out_accuracy_and_edges(spark):
     rows = corpus()
     docs = spark.createDataFrame([(d, t, 0.5) for d, t, _ in rows] + [(5000, None, 0.1), (5001, "", 0.1), (None, "grubby", 0.1), (0, rows[0][1], 0.1), (5002, "grubby vilest rotten " * 20000, 0.1)], "doc_id long, text string, score double")
