@@ -1,10 +1,10 @@
 """Quality rules with an isolation forest on their statistics.
 
 Each text gets rule statistics; two base rules fail it outright. The forest isolates rows by random
-splits; short average path lengths are anomalous. Trees are grown on small subsamples of a bounded sample of labelled rows, good
+splits; short average path lengths are anomalous. Trees are grown on small subsamples of labelled rows, good
 and bad alike, and each split is drawn from the range of the node's own rows. Subsamples are small so that junk, which makes up a
-tenth of the rows, stays alone in them (with 256 rows a tree it is a crowd of its own and hides). The threshold comes from the
-labelled rows too: the anomaly score that best parts good from bad ones while the share FALSE_ALARMS of good ones at most is lost.
+tenth of the rows, stays alone in them (with 256 rows a tree it is a crowd of its own and hides). They are drawn out of a pool of POOL rows, itself
+drawn by hash from all, so that a tree's rows are a uniform draw of all labelled ones. The threshold counts every labelled row: the anomaly score that best parts good from bad ones while the share FALSE_ALARMS of good ones at most is lost.
 
 The forest sees word length, symbols a word and variety of words. Repeats, copied lines and digits are left to the base rules and to
 the statistics' readers: among good rows they vary more than junk does, so splits on them isolate the wrong rows.
@@ -18,15 +18,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioframe.llm.common import pa_schema, per_text, table, write_table
 
-#: Rows of the labelled sample at most, drawn by the hash of their id.
-LABELLED_ROWS = 32_768
+#: Labelled rows that the trees' subsamples (TREES * SUBSAMPLE rows in all) are drawn from, by the hash of their id.
+POOL = 32_768
 TREES, SUBSAMPLE, SEED = 200, 32, 7
 FALSE_ALARMS = 0.005
+#: Ranges of scores that are summed before the scores inside one.
+BINS = 4096
 
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_digits long, n_upper long, n_kinds long, n_marks long"
 FEATURES = ("mean_word", "symbols", "kinds")
@@ -153,38 +155,61 @@ def base_failed():
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
+def _names() -> list[str]:
+    return [x.split()[0] for x in STATS.split(", ")]
+
+
 def _sample(df: DataFrame, rows: int) -> np.ndarray:
     """rows at most, drawn by a hash: each executor sends its smallest hashes only."""
     got = df.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id", *[c for c in df.columns if c != "doc_id"]).limit(rows).drop("doc_id").toArrow()
     return np.stack([got.column(i).to_numpy().astype(np.int64) for i in range(got.num_columns)], 1) if got.num_rows else np.zeros((0, got.num_columns), np.int64)
 
 
+def exact_threshold(scored: DataFrame, false_alarms: float = FALSE_ALARMS) -> float:
+    """threshold() of all rows of scored (anomaly, quality), in whole numbers: sums over BINS ranges first, then over the scores inside each range."""
+    counts = [F.sum(F.col("quality").cast("long")).alias("g"), F.sum(F.lit(1).cast("long") - F.col("quality").cast("long")).alias("b")]
+    each = write_table(scored.groupBy("anomaly").agg(*counts).withColumn("bin", F.floor(F.col("anomaly") * BINS)), "scores")
+    above = Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1)
+    bins = each.groupBy("bin").agg(F.sum("g").alias("bg"), F.sum("b").alias("bb"))
+    bins = bins.select("bin", *(F.coalesce(F.sum(f"b{x}").over(above), F.lit(0)).alias(f"{x}0") for x in "gb"))
+    good, bad = each.agg(F.sum("g"), F.sum("b")).first()
+    if not good or not bad:
+        return 2.0
+    inside = Window.partitionBy("bin").orderBy(F.desc("anomaly")).rowsBetween(Window.unboundedPreceding, 0)
+    cuts = each.join(F.broadcast(bins), "bin").select("anomaly", "b", *((F.col(f"{x}0") + F.sum(x).over(inside)).alias(f"n{x}") for x in "gb"))
+    value = F.col("nb").cast("decimal(19,0)") * good - F.col("ng").cast("decimal(19,0)") * bad
+    best = cuts.where((F.col("b") > 0) & (F.col("ng") <= false_alarms * good)).select("anomaly", value.alias("value")).orderBy(F.desc("value"), "anomaly").first()
+    return best.anomaly if best and best.value >= 0 else 2.0
+
+
 def fit(stats: DataFrame, labels: DataFrame) -> dict:
-    """Forest and threshold; the labelled sample is bounded by LABELLED_ROWS. Rows that fail the base rules are not in it."""
-    names = [x.split()[0] for x in STATS.split(", ")]
+    """Forest and threshold from the labelled rows that pass the base rules; the driver gets the pool and one cut."""
     passed = stats.where(~base_failed())
     known = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    marked = _sample(passed.select("doc_id", *names).join(known, "doc_id").select("doc_id", *names, "quality"), LABELLED_ROWS)
-    x, y = features(marked[:, :10]), marked[:, 10] == 1
-    if not y.any() or y.all():
+    marked = write_table(passed.select("doc_id", *_names()).join(known, "doc_id").select("doc_id", *_names(), "quality"), "marked")
+    if marked.select("quality").distinct().count() < 2:
         return {"forest": {"trees": [], "norm": 1.0}, "cut": 2.0}
-    forest = fit_forest(x)
-    return {"forest": forest, "cut": threshold(anomaly(forest, x), y)}
+    forest = fit_forest(features(_sample(marked, POOL)))
+    return {"forest": forest, "cut": exact_threshold(_scored(marked, forest, "quality"))}
 
 
-def judge(stats: DataFrame, model: dict) -> DataFrame:
-    names = [x.split()[0] for x in STATS.split(", ")]
-    ddl = f"doc_id long, {STATS}, anomaly double"
+def _scored(stats: DataFrame, forest: dict, *more: str) -> DataFrame:
+    """(doc_id, STATS, anomaly, more: further columns of whole numbers)."""
+    ddl = f"doc_id long, {STATS}, " + "".join(f"{x} long, " for x in more) + "anomaly double"
     schema = pa_schema(stats.sparkSession, ddl)
-    shared = stats.sparkSession.sparkContext.broadcast(model)
+    shared = stats.sparkSession.sparkContext.broadcast(forest)
 
     def run(batches):
         for b in batches:
             if b.num_rows:
                 x = np.stack([b.column(i).to_numpy() for i in range(1, 11)], 1)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(anomaly(shared.value["forest"], features(x)))], schema=schema)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(anomaly(shared.value, features(x)))], schema=schema)
+
+    return stats.select("doc_id", *_names(), *(F.col(x).cast("long").alias(x) for x in more)).mapInArrow(run, ddl)
 
-    scored = stats.select("doc_id", *names).mapInArrow(run, ddl).withColumn("base_failed", base_failed())
+
+def judge(stats: DataFrame, model: dict) -> DataFrame:
+    scored = _scored(stats, model["forest"]).withColumn("base_failed", base_failed())
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") < F.lit(model["cut"])))
 
 

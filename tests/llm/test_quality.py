@@ -97,6 +97,40 @@ def test_features_against_plain_form():
         assert np.allclose(Q.features(np.array([Q.statistics(text)]))[0], want)
 
 
+def labelled(spark, n):
+    """Statistics of n passing rows and their labels, as plain rows too."""
+    rng = np.random.default_rng(8)
+    words = rng.integers(50, 900, n)
+    bad = rng.random(n) < 0.1
+    rows = np.stack([words, (words * rng.normal(6 + bad, 1, n).clip(2)).astype(int), (words * rng.random(n) * (0.05 + 0.1 * bad)).astype(int), *np.zeros((5, n), int), (words * rng.uniform(0.4, 1, n)).astype(int), np.zeros(n, int)], 1)
+    stats = spark.createDataFrame([(i, *r) for i, r in enumerate(rows.tolist())], "doc_id long, " + Q.STATS)
+    return rows, ~bad, stats, spark.createDataFrame([(i, int(not b)) for i, b in enumerate(bad.tolist())], "doc_id long, quality int")
+
+
+def test_threshold_sees_all_labelled_rows(spark):
+    """More rows than the pool that the trees draw from."""
+    rows, good, stats, labels = labelled(spark, 40_000)
+    model = Q.fit(stats, labels)
+    score = Q.anomaly(model["forest"], Q.features(rows))
+    assert len(model["forest"]["trees"]) == Q.TREES and model["cut"] == Q.threshold(score, good) < 1
+    again = Q.fit(stats.repartition(9), labels)
+    assert again["cut"] == model["cut"]
+
+
+def test_exact_threshold_against_plain_form(spark):
+    rng = random.Random(11)
+    for bins in (4096, 3):
+        old, Q.BINS = Q.BINS, bins
+        try:
+            for _ in range(4):
+                n = rng.randrange(2, 40)
+                score, good = [rng.randrange(9) / 9 for _ in range(n)], [i == 0 or i > 1 and rng.random() < 0.7 for i in range(n)]
+                got = Q.exact_threshold(spark.createDataFrame(list(zip(score, map(int, good))), "anomaly double, quality int"), 0.25)
+                assert got == Q.threshold(np.array(score), np.array(good), 0.25)
+        finally:
+            Q.BINS = old
+
+
 def test_held_out_quality_and_edges(spark):
     rng = random.Random(2)
     word = lambda: "".join(rng.choices("abcdefgh", k=rng.randrange(2, 9)))
