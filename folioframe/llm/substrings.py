@@ -6,7 +6,8 @@ Which strings must meet: of every window of LENGTH bytes the least hash of its G
 anchors, so windows are dealt by them, and an anchor that is found once settles its windows at once. Windows that follow each
 other under one anchor make a context; equal contexts become one with a count. The contexts of an anchor go to one shard, where a
 suffix array is induced over them and permuted common prefixes tell which windows share LENGTH bytes with another one; a
-context that was counted twice or more repeats as it is.
+context that was counted twice or more repeats as it is. An anchor all of whose contexts were counted twice or more is settled by that
+and goes to no shard, as its windows are in no context of another anchor.
 
 A shard takes the anchors whose first text is the same, so contexts that lie beside each other in a text mostly become one
 segment; where that is more than SALT contexts it is dealt once more by anchor. An anchor of more than HOT
@@ -149,10 +150,11 @@ def repeated_anchors(docs: DataFrame) -> DataFrame:
 
 
 def context_rows(found: DataFrame) -> DataFrame:
-    """(h, c, cm: times of the context, k1, k2, at: where it stands first, nc: different contexts of the anchor, key: the anchor's first text)."""
+    """(h, c, cm: times of the context, k1, k2, at: where it stands first, nc: different contexts of the anchor, key: the anchor's first text,
+    settled: whether all contexts of the anchor came twice or more)."""
     each = found.groupBy("h", "c").agg(F.sum("m").alias("cm"), F.min(F.struct("k1", "k2", "at")).alias("r"))
-    per_anchor = write_table(each.groupBy("h").agg(F.count("*").alias("nc"), F.min("r.k1").alias("key")), "per_anchor")
-    return each.join(per_anchor, "h").select("h", "c", "cm", "r.k1", "r.k2", "r.at", "nc", "key")
+    per_anchor = write_table(each.groupBy("h").agg(F.count("*").alias("nc"), F.min("r.k1").alias("key"), (F.min("cm") > 1).alias("settled")), "per_anchor")
+    return each.join(per_anchor, "h").select("h", "c", "cm", "r.k1", "r.k2", "r.at", "nc", "key", "settled")
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
@@ -315,10 +317,12 @@ def hashed_windows(docs: DataFrame, reps: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(k1, k2, starts: array of (a, b)): windows a to b (exclusive) of the text repeat."""
     found = write_table(repeated_anchors(docs), "anchors")
-    reps = write_table(context_rows(found), "contexts")
+    every = write_table(context_rows(found), "contexts")
+    reps = every.where("not settled")
     sizes = write_table(reps.where(F.col("nc") <= HOT).groupBy("key").agg(F.count("*").alias("n")), "sizes")
     normal = reps.where(F.col("nc") <= HOT).join(sizes, "key").withColumn("salt", F.pmod(F.col("h"), F.ceil(F.col("n") / SALT)))
-    runs = sorted_shards(docs, normal)
+    whole = every.where("settled").select("h", "c", F.array(F.lit(0).cast("long"), F.col("c").bitwiseAND(F.lit(255))).alias("runs"))
+    runs = sorted_shards(docs, normal).union(whole)
     if reps.where(F.col("nc") > HOT).limit(1).count():
         runs = runs.union(hashed_windows(docs, reps.where(F.col("nc") > HOT).withColumn("salt", F.lit(0).cast("long"))))
     runs = write_table(runs, "runs")

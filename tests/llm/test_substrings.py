@@ -86,6 +86,16 @@ def test_matches_brute(spark):
         X.HOT, X.SALT, X.SHARD, X.PIECE = old
 
 
+def test_what_only_came_whole_is_not_sorted(spark, monkeypatch):
+    """Contexts go to the suffix arrays where one of their anchor came once; with nothing but copies none does."""
+    texts, seen, inner = [t for t in corpus() if t and len(t) > 250], [], X.sorted_shards
+    monkeypatch.setattr(X, "sorted_shards", lambda docs, reps: seen.append(reps.count()) or inner(docs, reps))
+    assert run(spark, texts * 2) == sorted(brute(texts * 2))
+    assert seen == [0]
+    assert run(spark, texts + texts[:9]) == sorted(brute(texts + texts[:9]))
+    assert seen[1] > 0
+
+
 def test_query_columns(spark, tmp_path):
     spark.createDataFrame([(1, "z" * 500), (2, None)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: r for r in X.query(spark, str(tmp_path)).collect()}
