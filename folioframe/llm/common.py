@@ -67,8 +67,9 @@ def sliced(batches, rows: int = 1024):
             yield b.slice(at, rows)
 
 
-def per_text(docs: DataFrame, score, schema: str, rows: int = 1024) -> DataFrame:
-    """Adds what score(list of texts) returns (a dict of equal-length lists) to each doc_id, rows texts at a time. schema: DDL of those columns."""
+def per_text(docs: DataFrame, score, schema: str, rows: int = 1024, done=None) -> DataFrame:
+    """Adds what score(list of texts) returns (a dict of equal-length lists) to each doc_id, rows texts at a time. schema: DDL of those columns.
+    done() is called at the end of a task."""
     ddl = f"doc_id long, {schema}"
     target = pa_schema(docs.sparkSession, ddl)
 
@@ -77,6 +78,8 @@ def per_text(docs: DataFrame, score, schema: str, rows: int = 1024) -> DataFrame
             if b.num_rows:
                 got = score(b.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(got[f.name], f.type) for f in list(target)[1:])], schema=target)
+        if done:
+            done()
 
     return id_text(docs).mapInArrow(run, ddl)
 

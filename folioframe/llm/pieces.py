@@ -186,6 +186,10 @@ class PieceCodec:
             self.units[unit] = out
         return out
 
+    def forget(self) -> None:
+        """Drops the tables of units, which later tasks of the worker would carry along."""
+        self.units, self.old = {}, {}
+
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
@@ -252,7 +256,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, with_ids: bool =
             out["decoded_sha256"].append(hashlib.sha256(c.decode(ids).encode()).hexdigest())
         return out
 
-    return per_text(docs, score, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids, rows=128)
+    return per_text(docs, score, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids, rows=128, done=lambda: codec(model.value).forget())
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
