@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
-from folioframe.llm import simhash
+from folioframe.llm import components, simhash
 
 
 def brute(text):
@@ -178,6 +178,16 @@ def test_tree_pairs():
         assert parts(joined) == parts(near) and len(joined) == len(v) - len(parts(near))
 
 
+def test_components_in_few_files(spark, monkeypatch):
+    """A chain, a ring and loops; the result's files follow the number of edges."""
+    edges = [(i, i + 1) for i in range(40)] + [(100 + i, 100 + (i + 1) % 9) for i in range(9)] + [(200, 200), (300, 301)]
+    want = {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 109)} | {301: 300}
+    for files, most in ((100_000, 1), (10, 6)):
+        monkeypatch.setattr(components, "FILE_EDGES", files)
+        got = components.connected_components(spark.createDataFrame(edges, "a long, b long").repartition(7))
+        assert {r.node: r.root for r in got.collect()} == want and got.rdd.getNumPartitions() <= most
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(empty).count() == 0
