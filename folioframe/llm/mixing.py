@@ -22,6 +22,7 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -146,7 +147,11 @@ def mixture(docs: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame) -> DataFrame:
     """The mix itself, in the columns of docs: a row for each whole pass over a document, and one for each part of it that is
     taken besides (its words joined by spaces)."""
-    rows = plan(write_table(sized(docs), "sizes"), sized(docs, docs.columns))
+    sizes = sized(docs).select("source", "size", "h").persist(StorageLevel.DISK_ONLY)  # just for sums: no table, whose files cost commands of the system
+    try:
+        rows = plan(sizes, sized(docs, docs.columns))
+    finally:
+        sizes.unpersist()
     part = lambda a, b: F.when(b > a, F.struct(a.alias("a"), b.alias("b")))
     copies = F.concat(
         F.array_repeat(F.struct(F.lit(0).cast("long").alias("a"), F.col("size").alias("b")), F.when(F.col("size") > 0, F.col("full")).otherwise(0).cast("int")),

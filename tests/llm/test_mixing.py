@@ -66,3 +66,16 @@ def test_mixed_rows(spark):
     taken = M.mixture(docs).toPandas().taken.sum()
     assert abs(words - taken) <= 2  # the text with a no-break space is one word here, two in str.split
     assert M.mixed(docs.limit(0)).count() == 0 and M.mixture(docs.limit(0)).count() == 0
+
+
+def test_mixed_writes_no_table(spark, monkeypatch):
+    """Sizes are only summed: no files for them, and nothing stays cached."""
+    docs = spark.createDataFrame(rows(), "doc_id long, text string, source string")
+    cached = spark.sparkContext._jsc.getPersistentRDDs().size()
+    monkeypatch.setattr(M, "write_table", None)
+    monkeypatch.setattr(M, "SHARD_WORDS", 5000)
+    got = M.mixed(docs).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached
+    monkeypatch.undo()
+    monkeypatch.setattr(M, "SHARD_WORDS", 5000)
+    assert sum(len(r.text.split()) for r in got) == sum(r.taken for r in M.mixture(docs).collect()) > 0
