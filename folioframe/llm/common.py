@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
+import gc
 import sys
 import tempfile
 import types
@@ -84,6 +87,27 @@ def per_text(docs: DataFrame, score, schema: str, rows: int = 1024, done=None) -
     return id_text(docs).mapInArrow(run, ddl)
 
 
+def give_back() -> None:
+    """Memory that this process has freed but still holds goes back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library than glibc
+        pass
+
+
+def tidy(run):
+    """run (batches to batches) with give_back() at the end of a task: a Python worker stays for later tasks, and beside stages without Python."""
+
+    @functools.wraps(run)
+    def task(batches):
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
 def worker_cache(key, build):
     """A value that a Python worker builds once and keeps over its tasks (functions come by value, so their globals don't stay)."""
     kept = sys.modules.setdefault("_folioframe_kept", types.ModuleType("_folioframe_kept")).__dict__

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.llm.common import id_text, table, worker_cache, write_table
+from folioframe.llm.common import id_text, table, tidy, worker_cache, write_table
 from folioframe.llm.suffixes import permuted_prefixes, suffix_array
 
 LENGTH, GRAM = 200, 64
@@ -136,7 +136,7 @@ def anchors(docs: DataFrame) -> DataFrame:
             if parts:
                 yield flush()
 
-    return id_text(docs).select("text").mapInArrow(run, "h long, c long, k1 long, pk long, m long")
+    return id_text(docs).select("text").mapInArrow(tidy(run), "h long, c long, k1 long, pk long, m long")
 
 
 def repeated_anchors(docs: DataFrame) -> DataFrame:
@@ -171,7 +171,7 @@ def packed_texts(docs: DataFrame) -> DataFrame:
                 keys = [text_key(r) for r in raws]
                 yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys]), pa.array(map(pack, raws), pa.binary())], schema=schema)
 
-    return id_text(docs).select("text").mapInArrow(run, "k1 long, k2 long, z binary")
+    return id_text(docs).select("text").mapInArrow(tidy(run), "k1 long, k2 long, z binary")
 
 
 def _with_texts(docs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -208,7 +208,7 @@ def segments(docs: DataFrame, reps: DataFrame) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), schema)], schema=schema)
 
-    return _with_texts(docs, reps).mapInArrow(run, "key long, salt long, k1 long, at long, text binary, h array<long>, c array<long>, cm array<long>, off array<long>")
+    return _with_texts(docs, reps).mapInArrow(tidy(run), "key long, salt long, k1 long, at long, text binary, h array<long>, c array<long>, cm array<long>, off array<long>")
 
 
 def repeated_starts(texts: list[bytes], own: list[np.ndarray] | None = None, length: int = LENGTH) -> list[np.ndarray]:
@@ -286,7 +286,7 @@ def _sort_shards(batches):
 def sorted_shards(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """(h, c, runs): windows of each context that repeat, as begins and ends."""
     dealt = segments(docs, reps).repartition("key", "salt").sortWithinPartitions("key", "salt")
-    return dealt.mapInArrow(_sort_shards, "h long, c long, runs array<long>")
+    return dealt.mapInArrow(tidy(_sort_shards), "h long, c long, runs array<long>")
 
 
 def hashed_windows(docs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -308,7 +308,7 @@ def hashed_windows(docs: DataFrame, reps: DataFrame) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], schema=schema)
 
-    each = _with_texts(docs, reps).mapInArrow(run, "h long, c long, w1 long, w2 long, off long, cm long").distinct()
+    each = _with_texts(docs, reps).mapInArrow(tidy(run), "h long, c long, w1 long, w2 long, off long, cm long").distinct()
     times = each.groupBy("h", "w1", "w2").agg(F.sum("cm").alias("times")).where("times > 1")
     own = each.join(times, ["h", "w1", "w2"]).groupBy("h", "c").agg(F.sort_array(F.collect_set("off")).alias("offs"))
     return own.select("h", "c", F.flatten(F.transform("offs", lambda x: F.array(x, x + 1))).alias("runs"))
@@ -367,9 +367,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             got = [cut(r, zip(x, y) if x else ()) for r, x, y in zip(raws, b.column(2).to_pylist(), b.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, raws), pa.int64()), pa.array([g[0] for g in got], schema.field(2).type), pa.array([g[1] for g in got], pa.binary())], schema=schema)
 
-    rows = id_text(docs).mapInArrow(keyed, "doc_id long, k1 long, k2 long, z binary")
+    rows = id_text(docs).mapInArrow(tidy(keyed), "doc_id long, k1 long, k2 long, z binary")
     joined = rows.join(repeated_spans(docs), ["k1", "k2"], "left")
-    return joined.select("doc_id", "z", F.col("starts.a").alias("a"), F.col("starts.b").alias("b")).mapInArrow(out, "doc_id long, n_bytes long, removed array<long>, kept binary")
+    return joined.select("doc_id", "z", F.col("starts.a").alias("a"), F.col("starts.b").alias("b")).mapInArrow(tidy(out), "doc_id long, n_bytes long, removed array<long>, kept binary")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,3 +102,49 @@ def test_query_columns(spark, tmp_path):
     assert (got[1].n_bytes, got[1].n_removed, got[1].n_spans) == (500, 500, 1) and got[2].kept_sha256 == hashlib.sha256(b"").hexdigest()
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert X.remove_repeats(empty).count() == 0
+
+
+def test_workers_give_memory_back(monkeypatch):
+    """All of the operator's tasks end with give_back(): a worker stays beside stages that need its executor's memory."""
+    import pathlib
+    import re
+
+    import pyarrow as pa
+
+    from folioframe.llm import common
+
+    given, tasks = [], []
+
+    class Frame:
+        def __getattr__(self, name):
+            return lambda *a, **k: self
+
+        def mapInArrow(self, run, ddl):
+            tasks.append(run)
+            return self
+
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    monkeypatch.setattr(X, "id_text", lambda docs: docs)
+    text = "".join(random.Random(5).choices("abcdef", k=900))
+    for part in (X.anchors, X.packed_texts):
+        part(Frame())
+        batch = pa.RecordBatch.from_arrays([pa.array([text, "b", text])], ["text"])
+        assert sum(b.num_rows for b in tasks.pop()([batch])) and given.pop() and not given
+    every = re.findall(r"mapInArrow\((tidy\()?", pathlib.Path(X.__file__).read_text())
+    assert len(every) == 7 and all(every)
+
+
+def test_give_back_lowers_resident_memory():
+    import re
+
+    from folioframe.llm.common import give_back
+
+    def resident():
+        return int(re.search(r"\nPss_Anon:\s+(\d+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+
+    held = [np.ones(8_000) for _ in range(2_000)]  # 64 KB each, from the heap and not mapped
+    last = held.pop()
+    held.clear()
+    full = resident()
+    give_back()
+    assert last[0] == 1 and resident() < full - 50
