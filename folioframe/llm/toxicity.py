@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from folioframe.llm.common import pa_schema, per_text, sliced, table, write_table
 
 BITS, FOLDS, TRAIN_ROWS, TRAIN_PLACES, EPOCHS = 20, 5, 16_384, 24_000_000, 2
+#: Training rows of a file of the table that the driver reads. Rows have a bound, so files have one too, whatever the shuffle's partitions.
+FILE_ROWS = 1024
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 12.0, 0.1
 #: Toxic rows weigh (clean rows / toxic rows) ** BALANCE.
 BALANCE = 0.5
@@ -105,7 +107,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict:
             if at:
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(list(map(len, at)), pa.int64()), pa.array([x.tobytes() for x in at], pa.binary())], schema=schema)
 
-    found = write_table(texts.select("doc_id", "text", "toxic").mapInArrow(places, ddl), "places")
+    found = write_table(texts.select("doc_id", "text", "toxic").coalesce(-(-rows // FILE_ROWS)).mapInArrow(places, ddl), "places")
     by_hash = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     within = found.select("doc_id", F.sum("n").over(by_hash).alias("sum")).where(F.col("sum") <= TRAIN_PLACES)  # rows ids at most
     within = write_table(within, "within")

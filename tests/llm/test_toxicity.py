@@ -129,3 +129,29 @@ def test_no_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert X.assess(docs, none).first().score == pytest.approx(0, abs=1e-9)
     assert X.assess(docs.limit(0), none).count() == 0
+
+
+def test_training_table_has_few_files(spark, monkeypatch):
+    """Each file costs an executor two commands of the system, so files must follow the drawn rows and not the shuffle's partitions."""
+    rows = corpus(600)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    want, files, write = X.fit(docs, labels, rows=300), {}, X.write_table
+
+    def counted(df, name):
+        out = write(df, name)
+        files[name] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(X, "write_table", counted)
+    monkeypatch.setattr(X, "FILE_ROWS", 100, raising=False)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "50")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        got = X.fit(docs, labels, rows=300)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert files["places"] <= 3
+    assert got["bias"] == want["bias"] and (got["at"] == want["at"]).all() and (got["w"] == want["w"]).all()
