@@ -16,55 +16,62 @@ JOINING = ("to", "thru", "through")
 ANY = r"\b\d{4}[-/]\d{1,2}[-/]\d{1,2}\b|\b\d{1,2}[-/.]\d{1,2}[-/.](?:\d{4}|\d{2})\b"
 
 _TOKEN = r"[0-9]+|\p{L}+"
+#: Spellings of a date as patterns on whole tokens. A month is its name or the first three letters of it or more.
+_MONTH = "(?i:" + "|".join(m[:3] + "".join(f"(?:{c}" for c in m[3:]) + ")?" * len(m[3:]) for m in MONTHS) + ")"
+_BREAK = r"\n\r\x{85}\x{2028}\x{2029}"
+_NO_DASH = rf"(?=[0-9A-Za-z])(?<![-/])(?<![-/][{_BREAK}])(?<![-/]\r\n)"
 
 
 def full_year(y: Column, pivot: int = 50) -> Column:
     return F.when(y >= 100, y).when(y < pivot, y + 2000).otherwise(y + 1900)
 
 
+def _let(value: Column, use) -> Column:
+    """use(value) with the value computed once: a name for it, because expressions in lambdas and branches are computed where they stand."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _date(y, m, d) -> Column:
-    ok = (m.between(1, 12)) & (d.between(1, 31))
-    return F.when(ok, F.try_to_date(F.format_string("%04d-%02d-%02d", y, m, d), "yyyy-MM-dd"))
+    """Null where there is no such day."""
+    return F.concat(F.lpad(y.cast("string"), 4, "0"), F.lit("-"), m.cast("string"), F.lit("-"), d.cast("string")).try_cast("date")
+
 
+def _spelt(short_year: bool = False) -> str:
+    """Year first, month/day/year, Month D Y or D Month Y. short_year: years behind a month's name may have two digits."""
+    year = r"(?:[0-9]{4}|[0-9]{2})" if short_year else "[0-9]{4}"
+    loose = lambda marks: rf"(?:{marks}\s+[{_BREAK}]?|[-/.])"
+    forms = [
+        r"(?<![0-9])[0-9]{4}(?:-[0-9]{1,2}-|/[0-9]{1,2}/)[0-9]{1,2}",
+        r"(?<![0-9])[0-9]{1,2}(?:-[0-9]{1,2}-|/[0-9]{1,2}/|\.[0-9]{1,2}\.| / [0-9]{1,2} / )(?:[0-9]{4}|[0-9]{2})",
+        rf"(?<!\p{{L}}){_MONTH}{loose('[.]?')}[0-9]{{1,2}}{loose(',?')}{year}",
+        rf"(?<![0-9])[0-9]{{1,2}}{loose('')}{_MONTH}{loose('[.]?,?')}{year}",
+    ]
+    return f"(?:{'|'.join(forms)})(?![0-9])"
 
-def _month(word: Column) -> Column:
-    """Number of a month that a word names, whole or by its first three letters or more."""
-    full = F.array(*map(F.lit, MONTHS))
-    at = F.array_position(F.transform(full, lambda m: m.startswith(F.lower(word)) & (F.length(word) >= 3)), F.lit(True))
-    return F.nullif(at, F.lit(0)).cast("int")
 
+def _plain(x: Column) -> Column:
+    """A text without the ends of ordinal numbers."""
+    return F.regexp_replace(F.coalesce(x, F.lit("")), r"(?i)(?<=[0-9])(?:st|nd|rd|th)\b", "")
 
-class _Tokens:
-    """Numbers and words of a text, and the gaps before, between and behind them."""
 
-    def __init__(self, x: Column):
-        plain = F.regexp_replace(F.coalesce(x, F.lit("")), r"(?i)(?<=[0-9])(?:st|nd|rd|th)\b", "")
-        self.word, self.gap = F.regexp_extract_all(plain, F.lit(_TOKEN), F.lit(0)), F.split(plain, _TOKEN)
+def _read(spelt: Column, pivot: int) -> Column:
+    """The date that a match of _spelt() means; null where its day is impossible, and for no match."""
 
-    def date_at(self, i: Column, pivot: int, short_year: bool = False, after_dash: bool = False) -> Column:
-        """(y, m, d) that the tokens from i on spell, or null. short_year: years behind a month's name may have two digits."""
-        a, b, c = (F.get(self.word, i + k) for k in range(3))
-        before, g, h = (F.get(self.gap, i + k) for k in range(3))
-        digits = lambda v, *sizes: v.rlike("^[0-9]+$") & F.length(v).isin(*sizes)
-        year = digits(c, *((2, 4) if short_year else (4,)))
-        loose = lambda v, marks: v.rlike(rf"^{marks}\s+$") | v.isin("-", "/", ".")
-        whole = lambda v: v.try_cast("int")
-        triple = lambda y, m, d: F.struct(full_year(y, pivot).alias("y"), m.alias("m"), d.alias("d"))
-        found = F.when((g == h) & g.isin("-", "/") & digits(a, 4) & digits(b, 1, 2) & digits(c, 1, 2), triple(whole(a), whole(b), whole(c)))
-        found = found.when((g == h) & g.isin("-", "/", ".", " / ") & digits(a, 1, 2) & digits(b, 1, 2) & digits(c, 2, 4), triple(whole(c), whole(a), whole(b)))
-        found = found.when(digits(b, 1, 2) & year & _month(a).isNotNull() & loose(g, r"\.?") & loose(h, ",?"), triple(whole(c), _month(a), whole(b)))
-        found = found.when(digits(a, 1, 2) & year & _month(b).isNotNull() & loose(g, "") & loose(h, r"\.?,?"), triple(whole(c), _month(b), whole(a)))
-        return found if after_dash else F.when(~before.rlike("[-/]$"), found)
+    def parts(t):
+        a, b, c = (F.get(t, F.lit(i)) for i in range(3))
+        number = lambda v: v.try_cast("int")
+        month = lambda w: (F.instr(F.lit(" ".join(m[:3] for m in MONTHS)), F.lower(F.substring(w, 1, 3))) + 3) / 4
+        triple = lambda y, m, d: F.struct(number(y).alias("y"), m.cast("int").alias("m"), number(d).alias("d"))
+        found = F.when(a.rlike("^[0-9]{4}"), triple(a, number(b), c)).when(~a.rlike("^[0-9]"), triple(c, month(a), b))
+        return found.when(~b.rlike("^[0-9]"), triple(c, month(b), a)).otherwise(triple(c, number(a), b))
 
-    def places(self) -> Column:
-        return F.sequence(F.lit(0), F.greatest(F.size(self.word) - 3, F.lit(0)))
+    tokens = F.when(spelt != "", F.regexp_extract_all(spelt, F.lit(_TOKEN), F.lit(0)))
+    return _let(tokens, lambda t: _let(parts(t), lambda p: _date(full_year(p["y"], pivot), p["m"], p["d"])))
 
 
 def parse_any(x: Column, pivot: int = 50, short_year: bool = False) -> Column:
-    """The first date of a text: year first, month/day/year, Month D, Y or D Month Y."""
-    t = _Tokens(x)
-    first = F.get(F.filter(F.transform(t.places(), lambda i: t.date_at(i, pivot, short_year)), lambda v: v.isNotNull()), F.lit(0))
-    return _date(first["y"], first["m"], first["d"])
+    """The first date of a text: year first, month/day/year, Month D, Y or D Month Y. One pattern finds it, so a text is read once."""
+    return _let(F.regexp_extract(_plain(x), _NO_DASH + _spelt(short_year), 0), lambda found: _read(found, pivot))
 
 
 def canonical(x: Column) -> Column:
@@ -81,23 +88,19 @@ def find(x: Column) -> Column:
 
 def range_end(x: Column, pivot: int = 50) -> Column:
     """Of two dates with a dash or a joining word between them: the second, where it is later than the first."""
-    t = _Tokens(x)
+    ends = rf"{_NO_DASH}({_spelt()})(?: *[-–] *| *(?i:{'|'.join(JOINING)})(?!\p{{L}}) *)({_spelt()})"
 
-    def ends(i):
-        gap, behind = F.trim(F.get(t.gap, i + 3)), F.trim(F.get(t.gap, i + 4))
-        word = F.lower(F.get(t.word, i + 3)).isin(*JOINING) & (gap == "") & (behind == "")
-        second = F.when(word, t.date_at(i + 4, pivot)).when(gap.isin("-", "–"), t.date_at(i + 3, pivot, after_dash=True))
-        return F.struct(t.date_at(i, pivot).alias("a"), second.alias("b"))
+    def later(pair):
+        both = F.struct(*(_read(F.regexp_extract(pair, f"^{ends}", i), pivot).alias(k) for i, k in ((1, "a"), (2, "b"))))
+        return _let(both, lambda z: F.when(z["b"] > z["a"], z["b"]))
 
-    pair = F.get(F.filter(F.transform(t.places(), ends), lambda v: v["a"].isNotNull() & v["b"].isNotNull()), F.lit(0))
-    a, b = (_date(pair[k]["y"], pair[k]["m"], pair[k]["d"]) for k in ("a", "b"))
-    return F.when(b > a, b)
+    return _let(F.regexp_extract(_plain(x), ends, 0), later)
 
 
 def edge_labelled(x: Column, labels: str = r"date of service|dos|visit date|service date", reach: int = 40, edge: int = 20) -> Column:
     """A date within reach characters of a label in the first or last edge words."""
-    head = F.regexp_extract(x, rf"^(?:\s*\S+){{0,{edge}}}", 0)
-    tail = F.regexp_extract(x, rf"(?:\S+\s*){{0,{edge}}}$", 0)
+    head = F.regexp_extract(x, rf"^(?:\s*+\S++){{0,{edge}}}", 0)
+    tail = F.regexp_extract(x, rf"(?:\S++\s*+){{0,{edge}}}$", 0)
     p = rf"(?i)\b(?:{labels})\b[^\d\n]{{0,{reach}}}({ANY})"
     return F.coalesce(parse_any(F.regexp_extract(head, p, 1)), parse_any(F.regexp_extract(tail, p, 1)))
 
@@ -118,17 +121,19 @@ def known(d: Column) -> Column:
 
 
 def dob_match(x: Column, dob: Column) -> Column:
-    """Day, month and year of a birth date as neighbouring words in one of four orders."""
-    w = F.filter(F.split(F.lower(x), r"[^\p{L}\p{N}]+"), lambda v: v != "")
-    n = F.transform(w, lambda v: F.coalesce(v.try_cast("int"), F.nullif(F.array_position(F.array(*(F.lit(m[:3]) for m in MONTHS)), F.substring(v, 1, 3)), F.lit(0)).cast("int")))
-    y, m, d = F.year(dob), F.month(dob), F.day(dob)
-    orders = ((m, d, y), (d, m, y), (y, m, d), (y, d, m))
-    at = F.sequence(F.lit(1), F.greatest(F.size(n) - 2, F.lit(1)))
-
-    def here(i):
+    """Day, month and year of a birth date as neighbouring words in one of four orders; a month is a number or a word by its first three
+    letters. The words are brought to one spelling first, so that each order is a plain search."""
+    short = [m[:3] for m in MONTHS]
+    words = F.concat(F.lit(" "), F.regexp_replace(F.lower(x), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
+    words = F.regexp_replace(words, rf"(?<= )(?:0+(?=[0-9])|({'|'.join(short)})[\p{{L}}\p{{N}}]+)", "$1")
+    y, d = (f(dob).cast("string") for f in (F.year, F.day))
+    months = (F.month(dob).cast("string"), F.get(F.array(*map(F.lit, short)), F.month(dob) - 1))
+
+    def found(t):
         out = F.lit(False)
-        for o in orders:
-            out = out | F.coalesce((F.get(n, i - 1) == o[0]) & (F.get(n, i) == o[1]) & (F.get(n, i + 1) == o[2]), F.lit(False))
+        for m in months:
+            for o in ((m, d, y), (d, m, y), (y, m, d), (y, d, m)):
+                out = out | F.contains(t, F.concat(*(z for v in o for z in (F.lit(" "), v)), F.lit(" ")))
         return out
 
-    return (F.size(n) >= 3) & F.exists(at, here)
+    return F.coalesce(_let(words, found), F.lit(False))
