@@ -158,7 +158,7 @@ def mem_wrong_member(spark, sf):
 
 @query("mem_key_sentences", "SELECT doc_id, len(list_filter(string_split(coalesce(text, ''), '.'), lambda s: regexp_matches(lower(s), '\\bof the\\b')))::BIGINT AS sentences FROM documents")
 def mem_key_sentences(spark, sf):
-    s = F.filter(F.split(F.coalesce("text", F.lit("")), r"\."), lambda x: F.lower(x).rlike(r"\bof the\b"))
+    s = F.filter(F.split(F.coalesce("text", F.lit("")), r"\."), lambda x: F.lower(x).rlike(S.ascii_marks(r"\bof the\b")))
     return table(spark, sf, "documents").select("doc_id", F.size(s).cast("long").alias("sentences"))
 
 
@@ -274,7 +274,7 @@ def pt_vote_pick(spark, sf):
 
 @query("pt_rules", "SELECT doc_id, CASE WHEN len(regexp_extract_all(text, '(?i)\\bthe\\b')) >= 5 THEN 'summary' WHEN len(regexp_extract_all(text, '(?i)\\bder\\b')) >= 2 THEN 'stay' ELSE 'none' END AS rule FROM documents")
 def pt_rules(spark, sf):
-    n = lambda w: F.regexp_count("text", F.lit(rf"(?i)\b{w}\b"))
+    n = lambda w: F.regexp_count("text", F.lit(S.ascii_marks(rf"(?i)\b{w}\b")))
     return table(spark, sf, "documents").select("doc_id", R.ladder([(n("the") >= 5, "summary"), (n("der") >= 2, "stay")], "none").alias("rule"))
 
 
@@ -300,16 +300,17 @@ def pt_confidence(spark, sf):
 
 @query("pt_mask_decode", f"{_PR}, m AS (SELECT * FROM (VALUES ('main', 'printed'), ('main', 'handwritten'), ('junk', 'printed')) v(kind, print)), j AS (SELECT p.chart, p.page_no, p.kind, m.print, p.confidence * CASE m.print WHEN 'printed' THEN 0.6 ELSE 0.4 END AS prob FROM pages_o p JOIN m ON m.kind = p.kind) SELECT chart, page_no, arg_max(print, (round(prob, 6), print)) AS l2, round(max(prob), 6) AS prob FROM j GROUP BY chart, page_no")
 def pt_mask_decode(spark, sf):
-    """Children allowed under a page's family, and the best path by the product of probabilities."""
+    """Children allowed under a page's family, and the best path by the product of probabilities. The rule table goes to the pages: families
+    are few, so by a shuffle all pages of one would be one task's."""
     allowed = spark.createDataFrame([("main", "printed"), ("main", "handwritten"), ("junk", "printed")], "kind string, l2 string")
-    j = order_pages(spark, sf).select("chart", "page_no", "kind", "confidence").join(allowed, "kind").withColumn("prob", F.col("confidence") * F.when(F.col("l2") == "printed", 0.6).otherwise(0.4))
+    j = order_pages(spark, sf).select("chart", "page_no", "kind", "confidence").join(F.broadcast(allowed), "kind").withColumn("prob", F.col("confidence") * F.when(F.col("l2") == "printed", 0.6).otherwise(0.4))
     return j.groupBy("chart", "page_no").agg(F.max(F.struct(F.round("prob", 6).alias("p"), "l2")).alias("b")).select("chart", "page_no", "b.l2", F.col("b.p").alias("prob"))
 
 
 @query("pt_canon_convert", f"{_PR}, m AS (SELECT * FROM (VALUES ('main', 'note'), ('junk', 'other')) v(kind, new)) SELECT coalesce(new, 'unresolved') AS new, count(*) AS n FROM pages_o LEFT JOIN m USING (kind) GROUP BY 1")
 def pt_canon_convert(spark, sf):
     m = spark.createDataFrame([("main", "note"), ("junk", "other")], "kind string, new string")
-    return order_pages(spark, sf).join(m, "kind", "left").groupBy(F.coalesce("new", F.lit("unresolved")).alias("new")).agg(F.count("*").alias("n"))
+    return order_pages(spark, sf).join(F.broadcast(m), "kind", "left").groupBy(F.coalesce("new", F.lit("unresolved")).alias("new")).agg(F.count("*").alias("n"))
 
 
 @query("pt_final", f"{_PR}, a AS (SELECT chart, arg_max(kind, (confidence, -page_no)) AS fam FROM pages_o GROUP BY chart) SELECT p.chart, p.page_no, CASE WHEN p.kind = a.fam THEN p.kind WHEN p.confidence >= 0.8 THEN p.kind ELSE a.fam END AS final FROM pages_o p JOIN a USING (chart)")
