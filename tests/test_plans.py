@@ -14,3 +14,9 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables he
 def test_rule_tables_go_to_the_pages(spark, name):
     plan = catalog.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning(kind" not in plan
+
+
+@pytest.mark.parametrize("name", ["kv_page_all", "kv_review_view", "kv_name", "kv_dob", "kv_member_id", "kv_dos", "kv_provider", "kv_credentials", "kv_esignature", "kv_trust", "join_key_catalog"])
+def test_words_stay_with_their_page(spark, name):
+    plan = catalog.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(term" not in plan and "hashpartitioning(page_id" not in plan
